@@ -194,11 +194,18 @@ def ema_one_step(
     return _finish(past.withColumn(name, F.col("close") * k + previous * (1 - k)))
 
 
-def next_close(df: DataFrame, series: Series = BARS, name: str = "close_next") -> DataFrame:
-    """Label every bar with the close that follows it; the newest bar of a series is dropped."""
-    past = with_past(df, series, 1, backwards=True)
-    following = F.lag("close").over(series.frame(backwards=True))
-    return _finish(past.withColumn(name, following)).na.drop(subset=[name])
+def next_close(
+    df: DataFrame, series: Series = BARS, name: str = "close_next", time: str | None = None
+) -> DataFrame:
+    """Label every bar with the close that follows it (and, as `time`, when that was).
+
+    The newest bar of a series has no label and is dropped.
+    """
+    frame = series.frame(backwards=True)
+    past = with_past(df, series, 1, backwards=True).withColumn(name, F.lag("close").over(frame))
+    if time:
+        past = past.withColumn(time, F.lag(series.time).over(frame))
+    return _finish(past).na.drop(subset=[name])
 
 
 def ema(

@@ -25,6 +25,8 @@ INTRADAY_EVENT = _struct(
     time=TEXT, symbol=TEXT, open=REAL, high=REAL, low=REAL, close=REAL, volume=REAL
 )
 
+TICK_EVENT = _struct(ts=TEXT, symbol=TEXT, event_id=LONG, price=LONG, volume=LONG)
+
 BARS = _struct(
     symbol=TEXT, interval=TEXT, trade_date=T.DateType(), open=REAL, high=REAL, low=REAL,
     close=REAL, volume=LONG, event_date=TEXT, event_time=TEXT, source=TEXT, month=TEXT,

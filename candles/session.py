@@ -47,3 +47,9 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch root."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def apply_defaults(spark: SparkSession) -> None:
+    """Put the defaults on a session that somebody else built."""
+    for key, value in DEFAULTS.items():
+        spark.conf.set(key, value)
