@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candles.operators.quality import newest_first
-from candles.operators.series import TICKS, Series, so_far, with_past
+from candles.operators.series import TICKS, Series, with_past
 
 # Index codes and report types the feeds know.
 INDEX_CODES = ["VNINDEX", "HNX-INDEX", "UPCOM-INDEX"]
@@ -168,7 +168,8 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def replay_order(ticks: DataFrame, series: Series = TICKS) -> DataFrame:
+def replay_order(ticks: DataFrame, series: Series | None = None) -> DataFrame:
     """Number the rows of every symbol, so that step i replays the i-th row of each symbol."""
+    series = series or TICKS.fitted(ticks)
     past = with_past(ticks, series, 1, {"n": lambda cur, prev: F.lit(1)})
     return past.filter(~F.col("_copied")).withColumnRenamed("_total_n", "step").drop("_copied", "_slice")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candles.operators.series import (
@@ -215,9 +215,10 @@ def ema(
 
     `periods` maps output column to period. A NULL leaves the average where it was.
 
-    Within a slice e(t) = r^t * (e(0) + k * sum(x(i) * r^-i)) with r = 1 - k, which is one
-    running sum. e(0) of a slice follows from the slice totals before it. Those lie at most
-    `reach` values back; what is older has a weight below exp(-100) and no effect on a double.
+    With r = 1 - k, e(t) = r^t * (e(0) + k * sum(x(i) * r^-i)): one running sum. It is taken
+    over blocks of a slice short enough for r^-i to stay finite, and e(0) of a block follows
+    from the sums of what lies before it. Whatever is older than `reach` values has a weight
+    below exp(-100) and cannot change a double.
     """
     frame = series.frame()
     cut = series.sliced(df).repartition(*series.keys, "_slice")
@@ -270,26 +271,46 @@ def ema(
         "_at": at,
         "_start": F.max("_start").over(so_far(frame)),
         **{f"_enter_{n}": F.max(f"_enter_{n}").over(so_far(frame)) for n in ratio},
-    })
-    merged = merged.withColumns({
-        n: _scaled_sum(x, r, F.col(f"_enter_{n}"), frame) for n, r in ratio.items()
-    })
-    return merged.filter(~F.col("_copied")).drop(
-        "_copied", "_slice", "_at", "_start", *[f"_enter_{n}" for n in ratio]
-    )
+    }).filter(~F.col("_copied"))
+    for name, r in ratio.items():
+        merged = _averaged(merged, series, name, x, r, _most_rows(df, series))
+    return merged.drop("_copied", "_slice", "_at", "_start", *[f"_enter_{n}" for n in ratio])
 
 
-def _scaled_sum(x: Column, r: float, enter: Column, frame) -> Column:
+def _most_rows(df: DataFrame, series: Series) -> float:
+    """How many rows a slice can hold: a DATE occurs once per series, other times may repeat."""
+    days = {"decade": 3653, "year": 366, "quarter": 92, "month": 31, "week": 7}
+    dated = df.schema[series.time].dataType.typeName() == "date" and len(series.order) == 1
+    return days.get(series.grain, math.inf) if dated else math.inf
+
+
+def _averaged(
+    df: DataFrame, series: Series, name: str, x: Column, r: float, most_rows: float
+) -> DataFrame:
+    """Add the average `name`, given `_at` (values so far in the slice) and what enters it."""
     if r <= 0:  # period 1: the average is the value itself
-        return F.last(x, ignorenulls=True).over(so_far(frame))
-    longest = int(-600 / math.log(r))
-    safe = F.when(
-        F.col("_at") > longest,
-        F.raise_error(F.lit(f"a slice holds over {longest} values; use a finer grain")),
-    ).otherwise(F.col("_at"))
-    total = F.sum(x * (1 - r) * F.pow(F.lit(r), -safe)).over(so_far(frame))
-    value = F.pow(F.lit(r), F.col("_at")) * (enter + F.coalesce(total, F.lit(0.0)))
-    return F.when(F.col("_start") + F.col("_at") > 0, value)
+        return df.withColumn(name, F.last(x, ignorenulls=True).over(so_far(series.frame())))
+    enter, k = F.col(f"_enter_{name}"), 1 - r
+    if most_rows <= -650 / math.log(r):  # r^-i stays below 1e283
+        total = F.coalesce(F.sum(x * k * F.pow(F.lit(r), -F.col("_at"))).over(so_far(series.frame())), F.lit(0.0))
+        value = F.pow(F.lit(r), F.col("_at")) * (enter + total)
+        return df.withColumn(name, F.when(F.col("_start") + F.col("_at") > 0, value))
+
+    # Of the blocks before this one only the last counts: r^longest is exp(-300).
+    longest = int(-300 / math.log(r))
+    slice_ = [*series.keys, "_slice"]
+    blocks = Window.partitionBy(*slice_).orderBy("_block").rangeBetween(-1, -1)
+    within = so_far(Window.partitionBy(*slice_, "_block").orderBy(*series.order))
+    df = df.withColumn("_block", F.floor(F.greatest(F.col("_at") - 1, F.lit(0)) / longest))
+    df = df.withColumn("_place", F.col("_at") - F.col("_block") * longest)
+    total = F.sum(x * k * F.pow(F.lit(r), -F.col("_place"))).over(within)
+    before = F.sum(x * k * F.pow(F.lit(r), longest - F.col("_place"))).over(blocks)
+    df = df.withColumns({"_total": F.coalesce(total, F.lit(0.0)), "_before": F.coalesce(before, F.lit(0.0))})
+    base = F.col("_before") + enter * F.pow(F.lit(r), F.col("_block") * longest)
+    value = F.pow(F.lit(r), F.col("_place")) * (base + F.col("_total"))
+    return df.withColumn(name, F.when(F.col("_start") + F.col("_at") > 0, value)).drop(
+        "_block", "_place", "_total", "_before"
+    )
 
 
 def macd(

@@ -14,11 +14,14 @@ small row per slice, so a symbol that holds a third of all rows is spread over i
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+# Slice lengths, longest first.
+GRAINS = ["decade", "year", "day", "minute", "second"]
+
 Accessor = Callable[[str], Column]
 RowValue = Callable[[Accessor, Accessor], Column]
 
@@ -28,19 +31,43 @@ class Series:
     """What identifies a series, what orders it, and how long one slice is.
 
     `order` must be a total order within a series; its first column is the time. `grain`
-    is a `date_trunc` unit chosen so that one slice of one series fits a task easily.
+    ("decade" or a `date_trunc` unit) makes one slice of one series fit a task easily. Daily
+    bars have at most 3,653 rows per decade; `fitted` finds a grain where no such bound holds.
     """
 
     keys: tuple[str, ...] = ("symbol", "interval")
     order: tuple[str, ...] = ("trade_date",)
-    grain: str = "year"
+    grain: str = "decade"
+
+    def fitted(self, df: DataFrame, most: int = 500_000) -> Series:
+        """This series with the coarsest grain whose fullest slice holds at most `most` rows.
+
+        A frame that is small as a whole needs no look at its slices. Otherwise one job counts
+        rows per series and second, and adds those counts up.
+        """
+        if df.count() <= most:
+            return replace(self, grain=GRAINS[0])
+        finest = GRAINS[-1]
+        counts = df.groupBy(*self.keys, _period(finest, F.col(self.time)).alias("_t")).agg(
+            F.count(F.lit(1)).alias("_rows")
+        )
+        fullest = None
+        for grain in reversed(GRAINS):
+            counts = counts.groupBy(*self.keys, _period(grain, F.col("_t")).alias("_t")).agg(
+                F.sum("_rows").alias("_rows"),
+                *([F.max(c).alias(c) for c in fullest] if fullest else []),
+            ).withColumn(grain, F.col("_rows"))
+            fullest = [*(fullest or []), grain]
+        row = counts.agg(*[F.max(g).alias(g) for g in GRAINS]).first()
+        fitting = [g for g in GRAINS if (row[g] or 0) <= most]
+        return replace(self, grain=fitting[0] if fitting else finest)
 
     @property
     def time(self) -> str:
         return self.order[0]
 
     def sliced(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("_slice", F.date_trunc(self.grain, F.col(self.time)))
+        return df.withColumn("_slice", _period(self.grain, F.col(self.time)))
 
     def frame(self, backwards: bool = False) -> WindowSpec:
         """Window over one slice in series order."""
@@ -52,7 +79,16 @@ class Series:
 
 
 BARS = Series()
-TICKS = Series(keys=("symbol",), order=("ts", "event_id"), grain="day")
+# Trades have no bound per day: fit the grain to the data.
+TICKS = Series(keys=("symbol",), order=("ts", "event_id"), grain="minute")
+
+
+def _period(grain: str, time: Column) -> Column:
+    """Start of the period a time lies in."""
+    if grain == "decade":
+        year = F.year(time)
+        return F.make_date(year - year % 10, F.lit(1), F.lit(1)).cast("timestamp")
+    return F.date_trunc(grain, time)
 
 
 def _directed(names: tuple[str, ...], backwards: bool) -> list[Column]:

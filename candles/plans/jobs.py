@@ -13,7 +13,6 @@ from candles.operators.incremental import new_rows
 from candles.operators.indicators import indicators
 from candles.operators.series import BARS, Series
 from candles.session import scratch
-from candles.sources.readers import any_of, partition_values, read_bars
 from candles.sources.sinks import BAR_PARTITIONS, INDEX_PARTITIONS, upsert, write_bars
 
 INDEX_KEY = ["index_code", "trade_date"]
@@ -67,7 +66,7 @@ def compact(spark: SparkSession, path: str, partition_cols: list[str], where: st
     table = spark.read.parquet(path)
     chosen = table.filter(where) if where else table
     staged = scratch(spark, "compacted")
-    write_bars(chosen, staged, partition_cols)
+    chosen.write.parquet(staged)
     copy = spark.read.schema(table.schema).parquet(staged)
     write_bars(copy, path, partition_cols, mode="replace")
 

@@ -69,7 +69,7 @@ def upsert(
     if not table_exists(spark, path):
         write_bars(newest, path, partition_cols)
         return
-    write_bars(newest, arrived, partition_cols)
+    newest.write.parquet(arrived)
     schema = newest.schema
     incoming = spark.read.schema(schema).parquet(arrived)
     stored = spark.read.schema(schema).parquet(path)
@@ -80,7 +80,7 @@ def upsert(
     else:
         stored = stored.filter(any_of(touched, partition_cols))
     result = replace_latest(stored.select(*newest.columns), incoming.select(*newest.columns), key, list(order))
-    write_bars(result, merged, partition_cols)
+    result.write.parquet(merged)
     write_bars(spark.read.schema(schema).parquet(merged), path, partition_cols, mode="replace")
 
 

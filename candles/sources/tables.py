@@ -21,23 +21,29 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
     """One daily bar per supplier and ship date; trades are ordered by a full tie-break."""
     trade = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
     price = cents("l_extendedprice")
-    return (
+    daily = (
         table(spark, folder, "lineitem")
-        .groupBy(
-            F.concat(F.lit("S"), F.col("l_suppkey")).alias("symbol"),
-            F.col("l_shipdate").cast("date").alias("trade_date"),
-        )
+        .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("trade_date"))
         .agg(
-            # An aggregate, not a literal: a constant would be folded out of the
-            # partitioning keys and cost the series windows their shared shuffle.
-            F.max(F.lit("1D")).alias("interval"),
-            F.min_by(price, trade).alias("open"),
+            F.min(trade)["l_extendedprice"].alias("first_price"),
             F.max(price).alias("high"),
             F.min(price).alias("low"),
-            F.max_by(price, trade).alias("close"),
+            F.max(trade)["l_extendedprice"].alias("last_price"),
             F.sum(F.col("l_quantity").cast("bigint")).alias("volume"),
+            # An aggregate, not a literal: a constant would be folded out of the
+            # partitioning keys and cost the series windows their shared shuffle.
+            F.max(F.lit("1D")).alias("interval"),
         )
-        .select("symbol", "interval", "trade_date", "open", "high", "low", "close", "volume")
+    )
+    return daily.select(
+        F.concat(F.lit("S"), F.col("l_suppkey")).alias("symbol"),
+        "interval",
+        "trade_date",
+        cents("first_price").alias("open"),
+        "high",
+        "low",
+        cents("last_price").alias("close"),
+        "volume",
     )
 
 

@@ -46,7 +46,7 @@ def ema_batches(path: str, period: int = 5, series: Series = TICKS, value: str =
         if rows.isEmpty():
             return
         close = rows if value == "close" else rows.withColumn("close", F.col(value))
-        keyed = ema_one_step(close, period, series).withColumn(
+        keyed = ema_one_step(close, period, series.fitted(rows)).withColumn(
             "es_id", row_key(*series.keys, F.col(series.time).cast("string"))
         )
         write_batch(keyed, path, batch_id)
@@ -102,7 +102,7 @@ class Remembered:
             both = fresh.withColumn("_old", F.lit(False))
             if state is not None:
                 both = both.unionByName(state.select(*columns).withColumn("_old", F.lit(True)))
-            done = compute(both)
+            done = compute(both, self.series.fitted(batch))
             write_batch(done.filter(~F.col("_old")).drop("_old"), f"{self.path}/out", batch_id)
             write_batch(late, f"{self.path}/late", batch_id)
         finally:
@@ -121,7 +121,7 @@ class Remembered:
         def each(rows: DataFrame, batch_id: int) -> None:
             self._run(
                 rows, batch_id, max(n - 1, 1),
-                lambda both: sma(both, n, self.series, "value"),
+                lambda both, series: sma(both, n, series, "value"),
                 lambda out: out,
             )
 
@@ -133,7 +133,7 @@ class Remembered:
         def each(rows: DataFrame, batch_id: int) -> None:
             self._run(
                 rows, batch_id, 1,
-                lambda both: ema(both, {"value": period}, series=self.series),
+                lambda both, series: ema(both, {"value": period}, series=series),
                 lambda out: out.withColumn("close", F.col("value")),
             )
 
