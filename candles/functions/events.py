@@ -13,11 +13,15 @@ CORRUPT = "_corrupt"
 
 
 def parse_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Add `parsed`, and `_corrupt` with the text of events that are not JSON (else NULL)."""
+    """Add `parsed`, and `_corrupt` with the text of events that are not JSON (else NULL).
+
+    A filter on a parsed field would otherwise be pushed down together with a second parse
+    of every event; as the output of a generator the struct is parsed once.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     text = F.col(value).cast("string")
     parsed = F.from_json(text, wide, {"columnNameOfCorruptRecord": CORRUPT})
-    return df.withColumn("parsed", parsed).withColumn(CORRUPT, F.col(f"parsed.{CORRUPT}"))
+    return df.select("*", F.explode(F.array(parsed)).alias("parsed")).withColumn(CORRUPT, F.col(f"parsed.{CORRUPT}"))
 
 
 def valid(parsed: DataFrame) -> DataFrame:

@@ -111,7 +111,7 @@ def report_head(df: DataFrame, n: int, report_type: str | None = None) -> DataFr
     wanted = [report_type] if report_type else REPORT_TYPES
     known = df.filter(F.col("report_type").isin(wanted))
     head = newest(known, n, ("symbol", "report_type", "period"), ("period_end", "report_id"))
-    return head.withColumnRenamed("nth", "rn")
+    return head.withColumn("rn", F.col("nth").cast("bigint")).drop("nth")
 
 
 def in_range(df: DataFrame, start: str, end: str, day: str = "trade_date") -> DataFrame:

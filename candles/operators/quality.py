@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from candles.schemas import BAR_KEY
@@ -34,6 +34,15 @@ def dedup_latest(df: DataFrame, key: list[str] | None = None, order: list[str |
     return df.withColumn("_nth", F.row_number().over(newest)).filter("_nth = 1").drop("_nth")
 
 
+def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
+    """The same frame, and an observation whose `get["n"]` is its row count once it has run.
+
+    Counting rides along with the write; it costs no scan of its own.
+    """
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
 def completeness(df: DataFrame, min_rows: int, day: str = "trade_date") -> DataFrame:
     """Rows per day and whether they reach `min_rows`."""
     counts = df.groupBy(day).agg(F.count(F.lit(1)).alias("n"))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -42,25 +43,34 @@ class Series:
     def fitted(self, df: DataFrame, most: int = 500_000) -> Series:
         """This series with the coarsest grain whose fullest slice holds at most `most` rows.
 
-        A frame that is small as a whole needs no look at its slices. Otherwise one job counts
-        rows per series and second, and adds those counts up.
+        A frame that is small as a whole needs no look at its slices. Otherwise a job counts
+        rows per series and day, which usually decides; only if a day is too full do finer
+        counts follow.
         """
         if df.count() <= most:
             return replace(self, grain=GRAINS[0])
-        finest = GRAINS[-1]
-        counts = df.groupBy(*self.keys, _period(finest, F.col(self.time)).alias("_t")).agg(
-            F.count(F.lit(1)).alias("_rows")
-        )
-        fullest = None
-        for grain in reversed(GRAINS):
-            counts = counts.groupBy(*self.keys, _period(grain, F.col("_t")).alias("_t")).agg(
-                F.sum("_rows").alias("_rows"),
-                *([F.max(c).alias(c) for c in fullest] if fullest else []),
-            ).withColumn(grain, F.col("_rows"))
-            fullest = [*(fullest or []), grain]
-        row = counts.agg(*[F.max(g).alias(g) for g in GRAINS]).first()
-        fitting = [g for g in GRAINS if (row[g] or 0) <= most]
-        return replace(self, grain=fitting[0] if fitting else finest)
+        for counted in ("day", "minute", "second"):
+            fullest = self._fullest(df, counted)
+            for grain, rows in fullest.items():
+                if rows <= most:
+                    return replace(self, grain=grain)
+        return replace(self, grain=GRAINS[-1])
+
+    def _fullest(self, df: DataFrame, counted: str) -> dict[str, int]:
+        """Most rows in a slice, per grain from the coarsest down to `counted`."""
+        one = F.count(F.lit(1)).alias("_rows")
+        counts = df.groupBy(*self.keys, _period(counted, F.col(self.time)).alias("_t")).agg(one)
+        if counted != "day":
+            return {counted: counts.agg(F.max("_rows")).first()[0]}
+        # A coarser slice is a sum of days.
+        by_grain = [
+            counts.groupBy(*self.keys, _period(g, F.col("_t")).alias("_t"))
+            .agg(F.sum("_rows").alias("_rows"))
+            .agg(F.lit(g).alias("grain"), F.max("_rows").alias("_most"))
+            for g in GRAINS[: GRAINS.index("day") + 1]
+        ]
+        most = {r["grain"]: r["_most"] for r in reduce(DataFrame.unionAll, by_grain).collect()}
+        return {g: most[g] for g in GRAINS if g in most}
 
     @property
     def time(self) -> str:

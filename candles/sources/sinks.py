@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candles.operators.incremental import replace_latest
 from candles.operators.quality import dedup_latest
@@ -39,13 +40,13 @@ def write_bars(
         writer.mode(mode).parquet(path)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The Parquet table at `path`, None if there is none yet."""
     try:
-        spark.read.parquet(path)
-        return True
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
+            return None
         raise
 
 
@@ -64,24 +65,22 @@ def upsert(
     not recompute the feed, and no plan overwrites a folder it reads. Rerunning is harmless.
     """
     spark = df.sparkSession
-    arrived, merged = scratch(spark, "arrived"), scratch(spark, "merged")
     newest = dedup_latest(df, key, list(order))
-    if not table_exists(spark, path):
+    stored = read_table(spark, path, newest.schema)
+    if stored is None:
         write_bars(newest, path, partition_cols)
         return
+    arrived, merged = scratch(spark, "arrived"), scratch(spark, "merged")
     newest.write.parquet(arrived)
-    schema = newest.schema
-    incoming = spark.read.schema(schema).parquet(arrived)
-    stored = spark.read.schema(schema).parquet(path)
+    incoming = spark.read.schema(newest.schema).parquet(arrived)
     touched = partition_values(incoming, partition_cols, MOST_TOUCHED)
     if touched is None:
         folders = incoming.select(*partition_cols).distinct()
         stored = stored.join(folders, partition_cols, "left_semi")
     else:
         stored = stored.filter(any_of(touched, partition_cols))
-    result = replace_latest(stored.select(*newest.columns), incoming.select(*newest.columns), key, list(order))
-    result.write.parquet(merged)
-    write_bars(spark.read.schema(schema).parquet(merged), path, partition_cols, mode="replace")
+    replace_latest(stored.select(*newest.columns), incoming, key, list(order)).write.parquet(merged)
+    write_bars(spark.read.schema(newest.schema).parquet(merged), path, partition_cols, mode="replace")
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:

@@ -10,7 +10,7 @@ from candles.functions.columns import row_key
 from candles.operators.bars import candles, newest
 from candles.operators.indicators import ema, ema_one_step, sma
 from candles.operators.series import TICKS, Series
-from candles.sources.sinks import read_batches, table_exists, write_batch
+from candles.sources.sinks import read_batches, read_table, write_batch
 
 
 def start(
@@ -80,8 +80,7 @@ class Remembered:
         self.path, self.series, self.value = path, series, value
 
     def _state(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        before = f"{self.path}/state/{batch_id - 1}"
-        return spark.read.parquet(before) if batch_id > 0 and table_exists(spark, before) else None
+        return read_table(spark, f"{self.path}/state/{batch_id - 1}") if batch_id > 0 else None
 
     def _split_late(self, rows: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         if state is None:

@@ -310,3 +310,9 @@ def test_models_learn_a_line(spark):
     scores = {(r.model, r.metric): r.value for r in predict.train_and_score(bars, "2024-03-01", "A", trees=5).collect()}
     assert scores["linear", "rmse"] < 0.1 and scores["linear", "r2"] > 0.99
     assert scores["forest", "rmse"] > scores["linear", "rmse"]
+
+
+def test_counting_rides_along(spark, tmp_path):
+    df, seen = Q.counted(spark.range(7))
+    df.write.parquet(str(tmp_path / "t"))
+    assert seen.get["n"] == 7

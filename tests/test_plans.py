@@ -96,3 +96,11 @@ def test_no_plan_broadcasts_by_hint_or_joins_without_keys(spark):
         assert "CartesianProduct" not in first_plan(df), name
         assert "BroadcastNestedLoopJoin" not in first_plan(df), name
         assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString(), name
+
+
+def test_events_are_parsed_once(spark):
+    from candles.functions import events as E
+
+    raw = spark.createDataFrame([("{}",)], "value string")
+    plan = first_plan(E.stock_bars(raw).filter("trade_date is not null and symbol is not null"))
+    assert plan.count("from_json") == 1
