@@ -155,10 +155,29 @@ def rsi(df: DataFrame, n: int = 14, series: Series = BARS, name: str | None = No
     return _finish(past.withColumn(name or f"rsi{n}", _rsi(series, n)))
 
 
-def indicators(df: DataFrame, series: Series = BARS) -> DataFrame:
-    """The analyst's view: bars, their row key and eight indicators, from one shuffle."""
-    totals = {"n": _one, **_vwap_totals(), **_running_mean_totals(series)}
-    past = with_past(df, series, 29, totals).withColumn("_change", _change(series))
+# Longest trailing frame of the view below, less its own row.
+VIEW_PAST = 29
+
+
+def _view_totals(series: Series) -> dict[str, RowValue]:
+    return {"n": _one, **_vwap_totals(), **_running_mean_totals(series)}
+
+
+def indicators(
+    df: DataFrame, series: Series = BARS, seeds: DataFrame | None = None, so_far: bool = False
+) -> DataFrame:
+    """The analyst's view: bars, their row key and eight indicators, from one shuffle.
+
+    With `so_far` the running totals are kept as columns `<name>_so_far`. A view that has them
+    can be continued: `seeds` are its newest rows, at most `VIEW_PAST` per series, all older
+    than `df`. Then only `df` and the seeds are read, however long the history is.
+    """
+    totals = _view_totals(series)
+    if seeds is not None:
+        seeds = seeds.select(*df.columns, *[f"{n}_so_far" for n in totals], "nth")
+        df = df.unionByName(seeds, allowMissingColumns=True)
+        totals = {n: _continued(n, value) for n, value in totals.items()}
+    past = with_past(df, series, VIEW_PAST, totals).withColumn("_change", _change(series))
     band = F.stddev_pop("close").over(series.frame().rowsBetween(-29, 0)) * 2
     full = past.withColumns({
         "es_id": F.concat_ws("_", *[F.col(k) for k in series.keys], F.col(series.time)),
@@ -173,9 +192,23 @@ def indicators(df: DataFrame, series: Series = BARS) -> DataFrame:
         "bollinger_upper": F.col("ma30") + F.col("_band"),
         "bollinger_lower": F.col("ma30") - F.col("_band"),
     })
+    if seeds is not None:
+        full = full.filter(F.col("nth").isNull()).drop("nth")
+    names = [f"{n}_so_far" for n in totals]
+    full = full.withColumns({f"{n}_so_far": F.col(f"_total_{n}") for n in totals}) if so_far else full.drop(*names)
     return _finish(full).drop("_band")
 
 
+def _continued(name: str, value: RowValue) -> RowValue:
+    """Row value after seeds: the newest seed brings the total so far, older ones nothing."""
+
+    def row_value(cur: Accessor, prev: Accessor) -> Column:
+        known = F.when(cur("nth") == 1, cur(f"{name}_so_far")).otherwise(F.lit(0))
+        return F.when(cur("nth").isNull(), value(cur, prev)).otherwise(known)
+
+    return row_value
+
+
 # The columns of the stored indicator view, in order; a fixed layout.
 INDICATOR_COLUMNS = [
     "symbol", "trade_date", "open", "high", "low", "close", "volume", "es_id",

@@ -10,7 +10,7 @@ from candles.functions.columns import normalize_date, row_key, with_month
 from candles.functions.events import CORRUPT, flatten_bars, index_bars, stock_bars
 from candles.operators.bars import latest_date, newest
 from candles.operators.incremental import new_rows
-from candles.operators.indicators import indicators
+from candles.operators.indicators import VIEW_PAST, indicators
 from candles.operators.series import BARS, Series
 from candles.session import scratch
 from candles.sources.sinks import BAR_PARTITIONS, INDEX_PARTITIONS, upsert, write_bars
@@ -43,18 +43,24 @@ def analyst(
     policy: str = "anti",
     series: Series = BARS,
 ) -> DataFrame:
-    """Indicators of the bars the stored view lacks.
+    """Indicators of the bars the stored view lacks, with the running totals beside them.
 
-    history="full" computes them over the whole series and then keeps the new rows;
-    "new_only" lets every run start its averages afresh.
+    history="full" computes them over the whole series and then keeps the new rows.
+    "continue" computes them for rows newer than the stored ones, from the newest stored rows
+    and their totals; late rows are left to "full". "new_only" lets every run start its
+    averages afresh.
     """
     bars = normalize_date(flatten_bars(bars))
     if stored is None:
-        return indicators(bars, series)
+        return indicators(bars, series, so_far=True)
     if history == "new_only":
-        return indicators(new_rows(bars, stored, policy), series)
+        return indicators(new_rows(bars, stored, policy, series.keys, series.time), series, so_far=True)
     if history == "full":
-        return new_rows(indicators(bars, series), stored, policy)
+        return new_rows(indicators(bars, series, so_far=True), stored, policy, series.keys, series.time)
+    if history == "continue":
+        fresh = new_rows(bars, stored, "max_date", series.keys, series.time)
+        seeds = newest(stored, VIEW_PAST, series.keys, series.order)
+        return indicators(fresh, series, seeds, so_far=True)
     raise ValueError(f"unknown history {history!r}")
 
 

@@ -324,4 +324,7 @@ select case when volume % 10 <> 0 then symbol end as symbol,
   case when volume % 10 <> 0 then volume end as volume,
   volume % 10 = 0 as corrupt
 from bars""", BARS)
+ORACLES["analyst_continued"] = (
+    f"select * from ({ORACLES['indicators_all']}) where trade_date >= date '2000-01-01'"
+)
 ORACLES["profile_unpivot"] = ORACLES["profile_event"]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candles.operators.indicators import next_close
+from candles.operators.quality import is_complete
 from candles.operators.series import BARS, Series
 from candles.schemas import PRICE_COLUMNS
 from candles.sources.sinks import metrics_frame
@@ -52,8 +53,15 @@ def evaluate(predicted: DataFrame, metric: str = "rmse") -> float:
     return RegressionEvaluator(labelCol=LABEL, metricName=metric).evaluate(predicted)
 
 
-def train_and_score(bars: DataFrame, cut: str, symbol: str | None = None, trees: int = 100) -> DataFrame:
-    """RMSE and R2 of both models, over one symbol or over all of them together."""
+def train_and_score(
+    bars: DataFrame, cut: str, symbol: str | None = None, trees: int = 100, min_rows: int = 0
+) -> DataFrame:
+    """RMSE and R2 of both models, over one symbol or over all of them together.
+
+    With `min_rows`, days with fewer bars fail the run before anything is trained.
+    """
+    if min_rows and not is_complete(bars, min_rows):
+        raise ValueError(f"there are days with fewer than {min_rows} bars")
     chosen = bars if symbol is None else bars.filter(F.col("symbol") == symbol)
     train, test = time_split(labelled(chosen), cut)
     # Both fits iterate over the training rows.

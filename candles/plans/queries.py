@@ -436,6 +436,17 @@ def analyst_incremental(spark, folder):
     return fresh.select(*DAY, rounded("ma30", 4).alias("ma30"), rounded("vwap", 4).alias("vwap"))
 
 
+@query
+def analyst_continued(spark, folder):
+    """A first run over the old bars, and a second that goes on from what it stored."""
+    df = bars(spark, folder)
+    path = scratch(spark, "view")
+    jobs.analyst(before(df), None).write.parquet(path)
+    fresh = jobs.analyst(df, spark.read.parquet(path), "continue")
+    exact = I.INDICATOR_COLUMNS[:8]
+    return fresh.select(*exact, *[rounded(c, 4).alias(c) for c in I.INDICATOR_COLUMNS[8:]])
+
+
 @query
 def upsert_latest(spark, folder):
     path = scratch(spark, "upsert")

@@ -88,10 +88,13 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def read_batches(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
-    """Rows of all micro-batches; per key the row of the newest batch."""
+def read_batches(spark: SparkSession, path: str, key: list[str], after: int = -1) -> DataFrame:
+    """Rows of the micro-batches after number `after`; per key the row of the newest batch.
+
+    To fold batches into a table, `upsert` this with the number of the last one folded.
+    """
     df = spark.read.parquet(path).withColumn("batch", F.col("batch").cast("bigint"))
-    return dedup_latest(df, key, ["batch"]).drop("batch")
+    return dedup_latest(df.filter(F.col("batch") > after), key, ["batch"]).drop("batch")
 
 
 def write_csv(df: DataFrame | None, path: str) -> bool:

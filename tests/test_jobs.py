@@ -270,6 +270,14 @@ def test_full_history_equals_a_full_run(spark):
     for policy in ("anti", "max_date"):
         fresh = jobs.analyst(bars, stored, "full", policy).select(*whole[0].__fields__)
         assert fresh.orderBy("trade_date").collect() == whole
+    view = jobs.analyst(stored, None)
+    for cut in ("2024-02-10", "2024-01-04"):  # more rows than a frame takes, and fewer
+        part = jobs.analyst(bars.filter(F.col("trade_date") < cut), None)
+        rest = jobs.analyst(bars, part, "continue").orderBy("trade_date")
+        expected = I.indicators(bars, so_far=True).filter(F.col("trade_date") >= cut).orderBy("trade_date")
+        for mine, theirs in zip(rest.collect(), expected.select(*rest.columns).collect(), strict=True):
+            assert tuple(mine) == pytest.approx(tuple(theirs))
+    assert jobs.analyst(bars, view, "continue").count() == len(whole)
     restarted = jobs.analyst(bars, stored, "new_only").orderBy("trade_date").collect()
     assert restarted[0].daily_return == 0.0 and restarted[5].ma7 is None and restarted[6].ma7 is not None
     assert jobs.analyst(bars, None).count() == 60
@@ -316,3 +324,8 @@ def test_counting_rides_along(spark, tmp_path):
     df, seen = Q.counted(spark.range(7))
     df.write.parquet(str(tmp_path / "t"))
     assert seen.get["n"] == 7
+
+
+def test_incomplete_days_are_not_trained_on(spark):
+    with pytest.raises(ValueError):
+        predict.train_and_score(frame(spark, bar("A", D(2024, 1, 1))), "2024-03-01", min_rows=2)
