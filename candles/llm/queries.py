@@ -2,23 +2,36 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candles.llm import sharding, simhash, url_filter
+from candles.llm import bpe, sharding, simhash, token_orc, url_filter
 from candles.llm.common import table
+from candles.session import scratch
 
 #: The rules that the URL query judges by.
 URL_RULES = [
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"), ("block", "com", "/de/"),
 ]
-SHARDS = 16
+SHARDS, END_ID = 16, 2
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_token_orc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "token-orc")
+    token_orc.write_tokens(table(spark, folder, "documents"), path, TOKENIZER, END_ID)
+    return token_orc.digests(token_orc.read_tokens(spark, path))
+
+
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(bpe.transcode(table(spark, folder, "documents"), TOKENIZER))
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     return url_filter.judge(table(spark, folder, "pages"), rules)
@@ -29,5 +42,5 @@ def op8_jump_hash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_simhash, op6_url_filter, op8_jump_hash)
+    f.__name__: f for f in (op1_simhash, op2_token_orc, op3_bpe, op6_url_filter, op8_jump_hash)
 }
