@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candles.llm import bpe, sharding, simhash, token_orc, url_filter
+from candles.llm import bpe, sharding, simhash, token_orc, url_filter, warc
 from candles.llm.common import table
 from candles.session import scratch
 
@@ -32,6 +32,13 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.transcode(table(spark, folder, "documents"), TOKENIZER))
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_warc(table(spark, folder, "pages"), path)
+    return warc.read_warc(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     return url_filter.judge(table(spark, folder, "pages"), rules)
@@ -42,5 +49,5 @@ def op8_jump_hash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_simhash, op2_token_orc, op3_bpe, op6_url_filter, op8_jump_hash)
+    f.__name__: f for f in (op1_simhash, op2_token_orc, op3_bpe, op4_warc, op6_url_filter, op8_jump_hash)
 }
