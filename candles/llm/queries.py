@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candles.llm import bpe, sharding, simhash, token_orc, url_filter, warc
+from candles.llm import bpe, pii, quality, sharding, simhash, tiling, token_orc, url_filter, warc
 from candles.llm.common import table
 from candles.session import scratch
 
@@ -44,10 +45,27 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"), rules)
 
 
+def op7_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model, empty = quality.fit(docs, labels.where(~quality.held_out()))
+    scored = quality.score(docs.select("doc_id", "text"), model, empty)
+    return scored.select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_jump_hash(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"), SHARDS)
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(pii.detect(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
-    f.__name__: f for f in (op1_simhash, op2_token_orc, op3_bpe, op4_warc, op6_url_filter, op8_jump_hash)
+    f.__name__: f for f in (op1_simhash, op2_token_orc, op3_bpe, op4_warc, op6_url_filter, op7_line_quality,
+                           op8_jump_hash, op9_decontamination, op10_pii)
 }
