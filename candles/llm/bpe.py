@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from candles.llm.common import arrow_map, pa_schema, record, session_of
 from candles.llm.pieces import Encoder, encoder, gather, sections
 
-BLOCK_BYTES, HELD_BYTES = 16 << 20, 24 << 20
+BLOCK_BYTES, HELD_BYTES, ROWS = 8 << 20, 12 << 20, 256
+#: Bytes whose pieces are told apart at once.
+SECTION_BYTES = 2 << 20
 BLOCKS, WORDS = "block int, body binary", "block int, owner int, body binary"
 
 
@@ -68,10 +70,10 @@ def _words(encode: Encoder, texts: list[bytes]) -> tuple[dict[bytes, int], list[
     number: dict[bytes, int] = {}
     hashes: list[int] = []
     placed, owners = [], []
-    for texts_of, parts in sections(texts):
+    for texts_of, parts in sections(texts, SECTION_BYTES):
         codes, words, hashed, per = encode.split(parts)
         known = len(number)
-        own = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+        own = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words))
         fresh = own >= known
         hashes.extend(hashed[fresh].tolist())
         placed.append(own[codes])
@@ -154,6 +156,7 @@ def transcode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
 
     def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
+        encode.forget()
         for batch in batches:
             for block, owner, body in zip(*(c.to_pylist() for c in batch.columns)):
                 number = encode.lookup(unpacked(body)[0].to_pylist())
@@ -161,6 +164,7 @@ def transcode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
                 body = packed([pa.ListArray.from_arrays(
                     pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(flat))])
                 yield record({"block": [block], "owner": [owner], "body": [body]}, sent)
+        encode.forget()
 
     def place(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not texts.num_rows:
@@ -192,7 +196,8 @@ def transcode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
         values = np.concatenate(made).astype(np.int32) if made else np.zeros(0, np.int32)
         lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(total)), pa.int32()), pa.array(values))
         strings = pa.array([t.decode("utf-8", "replace") for t in texts_out], pa.string())
-        return pa.Table.from_arrays([ids.cast(types.field("id").type), lists.cast(types.field("ids").type), strings], schema=types)
+        made = pa.Table.from_arrays([ids.cast(types.field("id").type), lists.cast(types.field("ids").type), strings], schema=types)
+        return pa.Table.from_batches(made.to_batches(max_chunksize=ROWS))
 
     words = blocks.groupBy("block").applyInArrow(ask, WORDS)
     replies = words.repartition("owner").mapInArrow(answer, WORDS)

@@ -26,7 +26,7 @@ import xxhash
 #: Bytes worked on at once; a longer text is taken in several parts.
 SECTION = 4 << 20
 #: Distinct pieces that a worker remembers before it starts afresh.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
