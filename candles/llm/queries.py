@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candles.llm import bpe, pii, quality, sharding, simhash, tiling, token_orc, url_filter, warc
+from candles.llm import bpe, embeddings, pii, quality, sharding, simhash, tiling, token_orc, url_filter, warc
 from candles.llm.common import table
 from candles.session import scratch
 
@@ -40,6 +40,10 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_collisions(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     return url_filter.judge(table(spark, folder, "pages"), rules)
@@ -66,6 +70,6 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_simhash, op2_token_orc, op3_bpe, op4_warc, op6_url_filter, op7_line_quality,
+    f.__name__: f for f in (op1_simhash, op2_token_orc, op3_bpe, op4_warc, op5_collisions, op6_url_filter, op7_line_quality,
                            op8_jump_hash, op9_decontamination, op10_pii)
 }
