@@ -55,8 +55,7 @@ def pa_schema(spark: SparkSession, ddl: str) -> pa.Schema:
 
 def record(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     arrays = [
-        value if isinstance(value, pa.Array) and value.type == field.type
-        else pa.array(value, type=field.type)
+        value.cast(field.type) if isinstance(value, pa.Array) else pa.array(value, type=field.type)
         for field in schema for value in [columns[field.name]]
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
