@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candles.llm.common import arrow_map, pa_schema, record, session_of
+from candles.llm.common import pa_schema, record, session_of
 from candles.llm.pieces import Encoder, encoder, gather, sections
 
 BLOCK_BYTES, HELD_BYTES, ROWS = 8 << 20, 12 << 20, 256
@@ -127,8 +127,11 @@ def _blocks(docs: DataFrame, key: str, text: str, owners: int) -> DataFrame:
     return rows.mapInArrow(run, BLOCKS)
 
 
-def transcode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids array<int>, decoded string) per row of `docs`.
+def transcode(
+    docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", packed_ids: bool = False,
+) -> DataFrame:
+    """(key, ids array<int>, decoded string) per row of `docs`; with `packed_ids` ids are one binary
+    value of little-endian unsigned 32-bit integers.
 
     ids are what the tokenizer gives for the whole text without special tokens added, decoded is
     what it makes of them with special tokens kept. A null text counts as empty: no ids, an empty
@@ -139,7 +142,7 @@ def transcode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
     spark = session_of(docs)
     owners = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.select(key).schema[0].dataType.simpleString()
-    out = f"id {kind}, ids array<int>, decoded string"
+    out = f"id {kind}, ids {'binary' if packed_ids else 'array<int>'}, decoded string"
     blocks = _blocks(docs, key, text, owners)
     sent, types = pa_schema(spark, WORDS), pa_schema(spark, out)
 
@@ -193,8 +196,13 @@ def transcode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
             words = list(map(decoded.__getitem__, own.tolist()))
             for n, a, e in zip(texts_in.tolist(), edges[:-1].tolist(), edges[1:].tolist()):
                 texts_out[n] += b"".join(words[a:e])
-        values = np.concatenate(made).astype(np.int32) if made else np.zeros(0, np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(total)), pa.int32()), pa.array(values))
+        values = np.concatenate(made).astype(np.uint32, copy=False) if made else np.zeros(0, np.uint32)
+        edges = np.append(0, np.cumsum(total))
+        if packed_ids:
+            data = memoryview(values.astype("<u4", copy=False)).cast("B")
+            lists = pa.array([bytes(data[4 * a:4 * e]) for a, e in zip(edges[:-1].tolist(), edges[1:].tolist())], pa.binary())
+        else:
+            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values.view(np.int32)))
         strings = pa.array([t.decode("utf-8", "replace") for t in texts_out], pa.string())
         made = pa.Table.from_arrays([ids.cast(types.field("id").type), lists.cast(types.field("ids").type), strings], schema=types)
         return pa.Table.from_batches(made.to_batches(max_chunksize=ROWS))
@@ -206,20 +214,7 @@ def transcode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
 
 
 def digests(made: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256): ids as little-endian unsigned 32-bit integers."""
-    import hashlib
-
-    kind = made.schema[key].dataType.simpleString()
-
-    def run(columns: dict) -> Iterable[dict]:
-        ids = columns["ids"]
-        edges = ids.offsets.to_numpy()
-        data = memoryview(ids.values.to_numpy().astype("<u4")).cast("B")
-        yield {
-            key: columns[key], "n_tokens": np.diff(edges).astype(np.int64),
-            "ids_sha256": [hashlib.sha256(data[4 * a:4 * b]).hexdigest() for a, b in zip(edges[:-1], edges[1:])],
-            "decoded_sha256": columns["sha"],
-        }
-
-    rows = made.select(key, "ids", F.sha2(F.col("decoded"), 256).alias("sha"))
-    return arrow_map(rows, run, f"{key} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    """(key, n_tokens, ids_sha256, decoded_sha256) of what `transcode` returns with packed ids."""
+    return made.select(
+        key, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

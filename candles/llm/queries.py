@@ -30,7 +30,7 @@ def op2_token_orc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return bpe.digests(bpe.transcode(table(spark, folder, "documents"), TOKENIZER))
+    return bpe.digests(bpe.transcode(table(spark, folder, "documents"), TOKENIZER, packed_ids=True))
 
 
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:

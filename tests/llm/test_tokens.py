@@ -57,7 +57,10 @@ ROWS = [(i, t, "s") for i, t in enumerate(texts(300, 7))] + [(None, "null key",
 
 def test_round_trip_over_blocks(spark, plain, monkeypatch):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string, ids string").repartition(5)
-    got = bpe.digests(bpe.transcode(docs, PATH)).collect()
+    got = bpe.digests(bpe.transcode(docs, PATH, packed_ids=True)).collect()
+    lists = bpe.transcode(docs, PATH).collect()
+    assert sorted((r.ids for r in lists), key=repr) == sorted((plain.encode(t or "", add_special_tokens=False).ids for _, t, _ in ROWS), key=repr)
+    assert sorted(r.decoded for r in lists) == sorted(t or "" for _, t, _ in ROWS)
     want = []
     for k, t, _ in ROWS:
         ids = plain.encode(t or "", add_special_tokens=False).ids
