@@ -10,18 +10,22 @@ from candles.functions.columns import event_columns, text_date, text_time
 from candles.schemas import BAR_COLUMNS, INDEX_EVENT, INTRADAY_EVENT, PRICE_COLUMNS, STOCK_EVENT
 
 CORRUPT = "_corrupt"
+# Intervals of minutes and hours; M is a month.
+BELOW_A_DAY = "^[0-9]+[mhH]$"
 
 
 def parse_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Add `parsed`, and `_corrupt` with the text of events that are not JSON (else NULL).
 
-    A filter on a parsed field would otherwise be pushed down together with a second parse
+    A field that cannot be read is NULL and its event stays; only such events are parsed again, to
+    tell them from text that is no JSON at all. A filter on a parsed field would otherwise be pushed down together with a second parse
     of every event; as the output of a generator the struct is parsed once.
     """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     text = F.col(value).cast("string")
     parsed = F.from_json(text, wide, {"columnNameOfCorruptRecord": CORRUPT})
-    return df.select("*", F.explode(F.array(parsed)).alias("parsed")).withColumn(CORRUPT, F.col(f"parsed.{CORRUPT}"))
+    return df.select("*", F.explode(F.array(parsed)).alias("parsed")).withColumn(
+        CORRUPT, F.when(F.col(f"parsed.{CORRUPT}").isNotNull() & F.try_parse_json(text).isNull(), text))
 
 
 def valid(parsed: DataFrame) -> DataFrame:
@@ -32,6 +36,12 @@ def corrupt(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(CORRUPT).isNotNull() | F.col("parsed").isNull())
 
 
+def source_offset(events: DataFrame) -> Column:
+    """The place of an event in its source, NULL where the source does not tell."""
+    known = F.col("offset").cast("bigint") if "offset" in events.columns else F.lit(None).cast("bigint")
+    return known.alias("source_offset")
+
+
 def _prices(parent: str) -> list[Column]:
     return [F.col(f"{parent}.data.{c}").alias(c) for c in PRICE_COLUMNS]
 
@@ -47,6 +57,9 @@ def stock_bars(events: DataFrame) -> DataFrame:
         "parsed.event_date",
         "parsed.event_time",
         "parsed.source",
+        F.when(F.col("parsed.interval").rlike(BELOW_A_DAY), F.col("parsed.event_time")).alias("bar_time"),
+        source_offset(df),
+        "value",
         CORRUPT,
     )
 
@@ -65,6 +78,8 @@ def index_bars(events: DataFrame) -> DataFrame:
         "parsed.source",
         "parsed.year",
         F.col("parsed.month").alias("event_month"),
+        source_offset(df),
+        "value",
         CORRUPT,
     )
 
@@ -133,7 +148,7 @@ def profile_events(
         F.min_by(F.map_entries("_data"), order).alias("_entries")
     )
     return first.select(
-        F.lit("fundamental").alias("event_type"),
+        F.lit("fundamental_profile").alias("event_type"),
         symbol,
         stamped.alias("event_time"),
         F.lit(source).alias("source"),

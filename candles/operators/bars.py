@@ -12,6 +12,8 @@ from candles.operators.series import TICKS, Series, with_past
 
 # Index codes and report types the feeds know.
 INDEX_CODES = ["VNINDEX", "HNX-INDEX", "UPCOM-INDEX"]
+# Bars of one symbol at different intervals are different series.
+SERIES = ("symbol", "interval")
 REPORT_TYPES = ["BalanceSheet", "IncomeStatement", "CashFlow"]
 
 
@@ -45,7 +47,8 @@ def period_end(interval: str, day: str = "trade_date") -> Column:
 
 
 def resample(df: DataFrame, interval: str, day: str = "trade_date") -> DataFrame:
-    """Daily bars to weekly or monthly ones; "1D" passes through.
+    """Daily bars to weekly or monthly ones; "1D" passes through. Bars of other intervals in `df`
+    are left out, since a week's bar would count its days again.
 
     First and last skip missing prices; a period with any missing value is dropped.
     """
@@ -57,7 +60,7 @@ def resample(df: DataFrame, interval: str, day: str = "trade_date") -> DataFrame
         return pick(price, F.when(F.col(price).isNotNull(), F.col(day)))
 
     return (
-        df.groupBy("symbol", period_end(interval, day).alias("period_end"))
+        df.filter(F.col("interval") == "1D").groupBy("symbol", period_end(interval, day).alias("period_end"))
         .agg(
             edge(F.min_by, "open").alias("open"),
             F.max("high").alias("high"),
@@ -70,7 +73,7 @@ def resample(df: DataFrame, interval: str, day: str = "trade_date") -> DataFrame
 
 
 def price_summary(df: DataFrame) -> DataFrame:
-    return df.groupBy("symbol").agg(
+    return df.groupBy(*SERIES).agg(
         F.max("high").alias("max_high"),
         F.min("low").alias("min_low"),
         F.avg("volume").alias("avg_volume"),
@@ -79,7 +82,7 @@ def price_summary(df: DataFrame) -> DataFrame:
 
 def index_summary(df: DataFrame, day: str = "trade_date") -> DataFrame:
     """Extremes, and the first close minus the last."""
-    return df.groupBy("symbol").agg(
+    return df.groupBy(*SERIES).agg(
         F.max("high").alias("max_high"),
         F.min("low").alias("min_low"),
         (F.min_by("close", day) - F.max_by("close", day)).alias("close_change"),
@@ -90,17 +93,17 @@ def symbols(df: DataFrame) -> DataFrame:
     return df.select("symbol").distinct()
 
 
-def latest_date(df: DataFrame, key: tuple[str, ...] = ("symbol",), day: str = "trade_date") -> DataFrame:
+def latest_date(df: DataFrame, key: tuple[str, ...] = SERIES, day: str = "trade_date") -> DataFrame:
     return df.groupBy(*key).agg(F.max(day).alias("latest_date"))
 
 
-def newest(df: DataFrame, n: int, key: tuple[str, ...] = ("symbol",), order: tuple[str, ...] = ("trade_date",)) -> DataFrame:
+def newest(df: DataFrame, n: int, key: tuple[str, ...] = SERIES, order: tuple[str, ...] = ("trade_date",)) -> DataFrame:
     """The `n` newest rows per key, numbered in `nth`; tasks drop the rest before the shuffle."""
     w = Window.partitionBy(*key).orderBy(*newest_first(list(order), df, list(key)))
     return df.withColumn("nth", F.row_number().over(w)).filter(F.col("nth") <= n)
 
 
-def latest_row(df: DataFrame, key: tuple[str, ...] = ("symbol",), day: str = "trade_date") -> DataFrame:
+def latest_row(df: DataFrame, key: tuple[str, ...] = SERIES, day: str = "trade_date") -> DataFrame:
     return newest(df, 1, key, (day,)).drop("nth")
 
 

@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candles.functions.columns import row_key
 from candles.operators.series import (
     BARS,
     Accessor,
@@ -180,7 +181,7 @@ def indicators(
     past = with_past(df, series, VIEW_PAST, totals).withColumn("_change", _change(series))
     band = F.stddev_pop("close").over(series.frame().rowsBetween(-29, 0)) * 2
     full = past.withColumns({
-        "es_id": F.concat_ws("_", *[F.col(k) for k in series.keys], F.col(series.time)),
+        "es_id": row_key(*series.keys, series.time),
         "vwap": _vwap(),
         "ma7": _trailing_mean(series, 7),
         "ma30": _trailing_mean(series, 30),

@@ -44,8 +44,8 @@ def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
 
 
 def completeness(df: DataFrame, min_rows: int, day: str = "trade_date") -> DataFrame:
-    """Rows per day and whether they reach `min_rows`."""
-    counts = df.groupBy(day).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per interval and day and whether they reach `min_rows`."""
+    counts = df.groupBy("interval", day).agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumn("ok", F.col("n") >= min_rows)
 
 

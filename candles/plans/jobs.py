@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,25 +10,48 @@ from candles import schemas
 from candles.functions.columns import normalize_date, row_key, with_month
 from candles.functions.events import CORRUPT, flatten_bars, index_bars, stock_bars
 from candles.operators.bars import latest_date, newest
-from candles.operators.incremental import new_rows
+from candles.operators.incremental import SERIES_KEY, new_rows
 from candles.operators.indicators import VIEW_PAST, indicators
+from candles.operators.quality import counted
 from candles.operators.series import BARS, Series
-from candles.session import scratch
+from candles.session import discard, scratch
 from candles.sources.sinks import BAR_PARTITIONS, INDEX_PARTITIONS, upsert, write_bars
 
 INDEX_KEY = ["index_code", "trade_date"]
 
 
-def land_ohlcv(events: DataFrame, path: str) -> None:
-    """Raw stock events into the bar table; landing the same events again changes nothing."""
-    rows = stock_bars(events).filter(F.col("trade_date").isNotNull() & F.col("symbol").isNotNull())
-    upsert(with_month(rows.drop(CORRUPT)), path, schemas.BAR_KEY, ["event_time"], BAR_PARTITIONS)
+def _land(
+    rows: DataFrame, path: str, named: str, key: list[str], order: list[str], partition_cols: list[str],
+    rejected: str | None,
+) -> int:
+    reason = F.when(F.col(CORRUPT).isNotNull(), "not json").when(F.col(named).isNull(), f"no {named}").when(
+        F.col("trade_date").isNull(), "no date")
+    rows = rows.withColumn("reason", reason)
+    refused, seen = counted(rows.filter("reason is not null").select("value", "reason").distinct(), "rejected")
+    upsert(refused, rejected or f"{path.rstrip('/')}.rejected", ["reason", "value"], [], ["reason"])
+    good = rows.filter("reason is null").drop(CORRUPT, "reason", "value")
+    upsert(with_month(good), path, key, order, partition_cols)
+    return seen.get["n"]
+
+
+def land_ohlcv(
+    events: DataFrame, path: str, partition_cols: list[str] = BAR_PARTITIONS, rejected: str | None = None
+) -> int:
+    """Raw stock events into the bar table; landing the same events again changes nothing.
+
+    Of one bar's events the newest by event time, then by its place in the source, counts; bars below
+    a day are told apart by their time. Events that are not JSON or lack a symbol or date are kept with
+    the reason in `rejected` (by default beside the table); their number is returned.
+    """
+    return _land(stock_bars(events), path, "symbol", schemas.LANDED_KEY, ["event_time", "source_offset"], partition_cols, rejected)
 
 
-def land_market(events: DataFrame, path: str) -> None:
-    """Raw index events into the index table."""
-    rows = index_bars(events).filter(F.col("trade_date").isNotNull() & F.col("index_code").isNotNull())
-    upsert(with_month(rows.drop(CORRUPT)), path, INDEX_KEY, ["event_time"], INDEX_PARTITIONS)
+def land_market(
+    events: DataFrame, path: str, partition_cols: list[str] = INDEX_PARTITIONS, rejected: str | None = None
+) -> int:
+    """Raw index events into the index table. The event time of all revisions of a bar is its date, so
+    the time of ingestion tells which is newest."""
+    return _land(index_bars(events), path, "index_code", INDEX_KEY, ["ingest_time", "source_offset"], partition_cols, rejected)
 
 
 def daily_view(bars: DataFrame) -> DataFrame:
@@ -67,14 +91,26 @@ def analyst(
 def compact(spark: SparkSession, path: str, partition_cols: list[str], where: str | None = None) -> None:
     """Rewrite the chosen partitions into few, sorted files.
 
-    The compacted copy is complete in scratch before a folder of the table is replaced.
+    `where` may name partition columns only, since folders are replaced as a whole. The compacted copy
+    is complete in scratch, and has as many rows, before a folder of the table is replaced.
     """
     table = spark.read.parquet(path)
+    if where:
+        kinds = ", ".join(f"`{c}` {table.schema[c].dataType.simpleString()}" for c in partition_cols)
+        try:
+            spark.createDataFrame([], kinds).filter(where)
+        except AnalysisException as error:
+            raise ValueError(f"only partition columns can choose folders: {where}") from error
     chosen = table.filter(where) if where else table
     staged = scratch(spark, "compacted")
-    chosen.write.parquet(staged)
-    copy = spark.read.schema(table.schema).parquet(staged)
-    write_bars(copy, path, partition_cols, mode="replace")
+    try:
+        chosen.write.parquet(staged)
+        copy = spark.read.schema(table.schema).parquet(staged)
+        if copy.count() != chosen.count():
+            raise ValueError(f"{path} changed while it was compacted")
+        write_bars(copy, path, partition_cols, mode="replace")
+    finally:
+        discard(spark, staged)
 
 
 def candlestick(df: DataFrame, symbol: str | None = None, months: int = 12, end: str | None = None) -> DataFrame:
@@ -91,7 +127,13 @@ def candlestick(df: DataFrame, symbol: str | None = None, months: int = 12, end:
             first = F.date_format(F.add_months(last, -months), "yyyy-MM")
             chosen = chosen.filter(F.col("month").between(first, F.date_format(last, "yyyy-MM")))
         return chosen
-    recent = chosen.join(latest_date(chosen), "symbol")
+    ends = latest_date(chosen, SERIES_KEY)
+    if "month" in df.columns:
+        # Months are found first, so that only folders that some chart needs are read.
+        first = ends.agg(F.min("latest_date")).first()[0]
+        if first is not None:
+            chosen = chosen.filter(F.col("month") >= F.date_format(F.add_months(F.lit(first), -months), "yyyy-MM"))
+    recent = chosen.join(ends, list(SERIES_KEY))
     return recent.filter(day > F.add_months("latest_date", -months)).select(*df.columns)
 
 
@@ -101,9 +143,10 @@ def search(df: DataFrame, predicate=None, n: int = 10) -> DataFrame:
     return found.orderBy(F.desc("trade_date"), F.desc("symbol"), F.desc("interval")).limit(n)
 
 
-def top_movers(df: DataFrame, as_of: str, group: str, n: int = 10) -> DataFrame:
-    """Ranking on each symbol's newest day up to `as_of`: top_gain, top_lose or top_volume.
+def top_movers(df: DataFrame, group: str, n: int = 10, as_of: str | None = None, interval: str = "1D") -> DataFrame:
+    """Ranking of one day, the newest up to `as_of`: top_gain, top_lose or top_volume.
 
+    Symbols without a bar of that day are not ranked; a return is measured from a symbol's bar before.
     Only the two newest bars of a symbol leave a task.
     """
     value = {
@@ -112,16 +155,18 @@ def top_movers(df: DataFrame, as_of: str, group: str, n: int = 10) -> DataFrame:
     }
     if group not in value:
         raise ValueError(f"unknown group {group!r}")
-    last = newest(
-        df.filter(F.col("trade_date") <= F.lit(as_of).cast("date"))
-        .select("symbol", "trade_date", "close", "volume"), 2,
-    )
+    known = df.filter(F.col("interval") == interval).select("symbol", "trade_date", "close", "volume")
+    if as_of is not None:
+        known = known.filter(F.col("trade_date") <= F.lit(as_of).cast("date"))
+    newest_day = known.agg(F.max("trade_date")).first()[0]
+    last = newest(known, 2, ("symbol",))
     pairs = last.groupBy("symbol").agg(
+        F.max("trade_date").alias("_day"),
         F.max(F.when(F.col("nth") == 1, F.col("close"))).alias("_close"),
         F.max(F.when(F.col("nth") == 2, F.col("close"))).alias("_before"),
         F.max("nth").alias("_bars"),
         F.max(F.when(F.col("nth") == 1, F.col("volume"))).alias("_volume"),
-    )
+    ).filter(F.col("_day") == F.lit(newest_day).cast("date"))
     change = F.try_divide((F.col("_close") - F.col("_before")).cast("double"), F.col("_before").cast("double")) * 100
     ranked = pairs.withColumn("_return", F.when(F.col("_bars") == 1, 0.0).otherwise(change)).select(
         "symbol", value[group].alias("value")

@@ -135,7 +135,7 @@ def movers(value: str, direction: str) -> str:
 newest as (
   select symbol, {value} as value,
          row_number() over (partition by symbol order by trade_date desc) as back
-  from steps where trade_date <= date '2000-06-30'),
+  from steps where trade_date = (select max(trade_date) from bars)),
 ranked as (
   select row_number() over (order by value {direction}, symbol) as rank, symbol, value
   from newest where back = 1 and value is not null)
@@ -160,7 +160,7 @@ where trade_date >= date '1996-01-01' and trade_date < date '1997-01-01'""", BAR
     "intraday_page": w(""",
 page as (select *, row_number() over (partition by symbol order by ts, event_id) as nth from ticks
          where cast(ts as date) = date '2024-01-05')
-select symbol, ts, price, volume from page where nth <= 500""", TICKS),
+select symbol, ts, price, volume from page where nth <= 20""", TICKS),
     "distinct_symbols": w(" select distinct symbol from bars", BARS),
     "symbol_subset": w(" select symbol, count(*) as n from bars where symbol in ('S1', 'S3', 'S5') group by 1", BARS),
     "index_allowlist": w(f""" select * from (select {INDEX_NAMES} as symbol, trade_date, close from bars)
@@ -206,7 +206,7 @@ from steps""", STEPS),
   arg_min(close, trade_date) - arg_max(close, trade_date) as close_change from bars group by 1""", BARS),
     "coverage_status": w(""",
 wanted as (select symbol from listing union select 'S_MISSING'),
-counts as (select symbol, count(*) as n from bars where year(trade_date) = 1995 group by 1)
+counts as (select symbol, count(*) as n from bars group by 1)
 select symbol, coalesce(n, 0) as n, case when n > 0 then 'success' else 'no_data' end as status
 from wanted left join counts using (symbol)""", BARS, LISTING),
     "candles_5m": candle_sql("5 minute"),
@@ -233,7 +233,7 @@ where trade_date > last_date - interval 12 month""", BARS),
     "session_filter": w(" select symbol, ts, price from ticks where volume % 17 <> 0 and hour(ts) < 15", TICKS),
     "kafka_envelope": w(""" select symbol as key, symbol, cast(trade_date as varchar) as event_date,
   cast(close as double) as close from bars""", BARS),
-    "profile_event": """
+    "profile_unpivot": """
 select concat('S', cast(s_suppkey as varchar)) as symbol, 's_name' as field, s_name as value from supplier
 union all select concat('S', cast(s_suppkey as varchar)), 's_nationkey', cast(s_nationkey as varchar) from supplier
 union all select concat('S', cast(s_suppkey as varchar)), 's_acctbal', cast(s_acctbal as varchar) from supplier""",
@@ -327,4 +327,47 @@ from bars""", BARS)
 ORACLES["analyst_continued"] = (
     f"select * from ({ORACLES['indicators_all']}) where trade_date >= date '2000-01-01'"
 )
-ORACLES["profile_unpivot"] = ORACLES["profile_event"]
+ORACLES["profile_event"] = f"select 'fundamental_profile' as event_type, * from ({ORACLES['profile_unpivot']})"
+
+# Daily bars and the weekly ones made of them, as bars of their own.
+MIXED = BARS + """,
+mixed as (
+  select symbol, "interval", trade_date, open, high, low, close, volume from bars
+  union all
+  select symbol, '1W', cast(date_trunc('week', trade_date) + interval 6 day as date), arg_min(open, trade_date), max(high), min(low),
+         arg_max(close, trade_date), cast(sum(volume) as bigint) from bars group by 1, 3)"""
+MIXED_TEST = MIXED + """,
+labels_ as (
+  select *, lead(close) over (partition by symbol, "interval" order by trade_date) as close_next from mixed),
+test as (select * from labels_ where close_next is not null and trade_date >= date '2000-01-01')"""
+SERIES = 'symbol, "interval"'
+ORACLES |= {f"{g}_mixed": ORACLES[g] for g in ("top_gain", "top_lose", "top_volume", "resample_weekly")}
+ORACLES |= {
+    "latest_per_symbol_mixed": w(f" select {SERIES}, max(trade_date) as latest_date from mixed group by 1, 2", MIXED),
+    "latest_row_mixed": w(f""" select {BAR_COLUMNS} from mixed b
+where trade_date = (select max(trade_date) from mixed x where x.symbol = b.symbol and x."interval" = b."interval")""", MIXED),
+    "price_summary_mixed": w(f""" select {SERIES}, max(high) as max_high, min(low) as min_low,
+  {r('avg(volume)')} as avg_volume from mixed group by 1, 2""", MIXED),
+    "index_summary_mixed": w(f""" select {SERIES}, max(high) as max_high, min(low) as min_low,
+  arg_min(close, trade_date) - arg_max(close, trade_date) as close_change from mixed group by 1, 2""", MIXED),
+    "candlestick_mixed": w(f""",
+ends as (select {SERIES}, max(trade_date) as last_date from mixed group by 1, 2)
+select {BAR_COLUMNS} from mixed join ends using ({SERIES}) where trade_date > last_date - interval 12 month""", MIXED),
+    "completeness_mixed": w(' select "interval", trade_date, count(*) as n, count(*) >= 5 as ok from mixed group by 1, 2', MIXED),
+    "naive_rmse_mixed": w(f""" select {SERIES},
+  {r('sqrt(avg(cast(close_next - close as double) * (close_next - close)))', 3)} as value from test group by 1, 2""", MIXED_TEST),
+    "naive_r2_mixed": w(f""" select {SERIES},
+  {r('1 - avg(cast(close_next - close as double) * (close_next - close)) / nullif(var_pop(close_next), 0)', 3)} as value
+from test group by 1, 2""", MIXED_TEST),
+    "parse_partial": w(f""" select symbol, "interval", trade_date, {DOUBLES},
+  case when volume % 7 <> 0 then volume end as volume, false as corrupt from bars""", BARS),
+    "stream_parse_partial": w(" select symbol, ts, price, case when volume % 7 <> 0 then volume end as volume from ticks", TICKS),
+    "land_market_revised": w(f""" select {INDEX_NAMES} as index_code, trade_date, {DOUBLES}, volume,
+  '2001-01-02T00:00:00Z' as ingest_time from bars""", BARS),
+    "land_intraday": w(" select symbol, ts, price, volume from ticks", TICKS),
+    "land_rejected": w(""" select 'landed' as reason, count(*) as n from bars where volume % 10 > 1
+union all select 'no date', count(*) from bars where volume % 10 = 1
+union all select 'not json', count(*) from (
+  select distinct symbol from bars where volume % 10 = 0)""", BARS),
+    "upsert_within_batch": w(" select symbol, trade_date, close + 1 as close from bars", BARS),
+}

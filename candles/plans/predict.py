@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candles.operators.bars import SERIES
 from candles.operators.indicators import next_close
 from candles.operators.quality import is_complete
 from candles.operators.series import BARS, Series
@@ -49,8 +51,11 @@ def fit_forest(train: DataFrame, trees: int = 100, seed: int = 42) -> PipelineMo
     return Pipeline(stages=[assembler(), forest]).fit(train)
 
 
-def evaluate(predicted: DataFrame, metric: str = "rmse") -> float:
-    return RegressionEvaluator(labelCol=LABEL, metricName=metric).evaluate(predicted)
+def evaluate(predicted: DataFrame) -> dict[str, float]:
+    """RMSE and R2 from one pass over the scored rows."""
+    miss = F.col(LABEL) - F.col("prediction")
+    row = predicted.agg(F.avg(miss * miss).alias("error"), F.var_pop(LABEL).alias("spread")).first()
+    return {"rmse": math.sqrt(row.error), "r2": 1 - row.error / row.spread if row.spread else float("nan")}
 
 
 def train_and_score(
@@ -70,9 +75,9 @@ def train_and_score(
     try:
         models = {"linear": fit_linear(train), "forest": fit_forest(train, trees)}
         metrics = [
-            (name, metric, evaluate(model.transform(test), metric))
+            (name, metric, value)
             for name, model in models.items()
-            for metric in ("rmse", "r2")
+            for metric, value in evaluate(model.transform(test)).items()
         ]
     finally:
         train.unpersist()
@@ -82,7 +87,7 @@ def train_and_score(
 
 def ols_close(train: DataFrame) -> DataFrame:
     """One-feature least squares per symbol: next close on close."""
-    return train.groupBy("symbol").agg(
+    return train.groupBy(*SERIES).agg(
         F.regr_slope(LABEL, "close").alias("slope"),
         F.regr_intercept(LABEL, "close").alias("intercept"),
     )
@@ -91,10 +96,10 @@ def ols_close(train: DataFrame) -> DataFrame:
 def naive_rmse(test: DataFrame) -> DataFrame:
     """Error of predicting that tomorrow's close is today's."""
     miss = (F.col(LABEL) - F.col("close")).cast("double")
-    return test.groupBy("symbol").agg(F.sqrt(F.avg(miss * miss)).alias("value"))
+    return test.groupBy(*SERIES).agg(F.sqrt(F.avg(miss * miss)).alias("value"))
 
 
 def naive_r2(test: DataFrame) -> DataFrame:
     miss = (F.col(LABEL) - F.col("close")).cast("double")
     spread = F.var_pop(LABEL)
-    return test.groupBy("symbol").agg((1 - F.try_divide(F.avg(miss * miss), spread)).alias("value"))
+    return test.groupBy(*SERIES).agg((1 - F.try_divide(F.avg(miss * miss), spread)).alias("value"))

@@ -18,7 +18,7 @@ from candles.operators.series import Series
 from candles.plans import jobs, predict
 from candles.session import scratch
 from candles.sources import readers, sinks
-from candles.sources.tables import bars, listing, reports, table, ticks
+from candles.sources.tables import bars, bars_mixed, listing, reports, table, ticks
 from candles.streaming import bars as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,7 +84,7 @@ def history_range_all(spark, folder):
 
 @query
 def intraday_page(spark, folder):
-    page = B.intraday_page(ticks(spark, folder), "2024-01-05", 500)
+    page = B.intraday_page(ticks(spark, folder), "2024-01-05", 20)
     return page.select("symbol", "ts", "price", "volume")
 
 
@@ -106,7 +106,12 @@ def index_allowlist(spark, folder):
 
 @query
 def latest_per_symbol(spark, folder):
-    return B.latest_date(bars(spark, folder))
+    return B.latest_date(bars(spark, folder)).drop("interval")
+
+
+@query
+def latest_per_symbol_mixed(spark, folder):
+    return B.latest_date(bars_mixed(spark, folder))
 
 
 @query
@@ -114,6 +119,11 @@ def latest_row(spark, folder):
     return B.latest_row(bars(spark, folder))
 
 
+@query
+def latest_row_mixed(spark, folder):
+    return B.latest_row(bars_mixed(spark, folder))
+
+
 @query
 def clean_symbol(spark, folder):
     messy = listing(spark, folder).select(F.concat(F.lit("  "), F.lower("symbol"), F.lit(" ")).alias("symbol"))
@@ -221,6 +231,11 @@ def resample_weekly(spark, folder):
     return B.resample(bars(spark, folder), "1W")
 
 
+@query
+def resample_weekly_mixed(spark, folder):
+    return B.resample(bars_mixed(spark, folder), "1W")
+
+
 @query
 def resample_monthly(spark, folder):
     return B.resample(bars(spark, folder), "1M")
@@ -228,13 +243,23 @@ def resample_monthly(spark, folder):
 
 @query
 def price_summary(spark, folder):
-    df = B.price_summary(bars(spark, folder))
+    df = B.price_summary(bars(spark, folder)).drop("interval")
     return df.withColumn("avg_volume", rounded("avg_volume", 4))
 
 
+@query
+def price_summary_mixed(spark, folder):
+    return B.price_summary(bars_mixed(spark, folder)).withColumn("avg_volume", rounded("avg_volume", 4))
+
+
 @query
 def index_summary(spark, folder):
-    return B.index_summary(bars(spark, folder))
+    return B.index_summary(bars(spark, folder)).drop("interval")
+
+
+@query
+def index_summary_mixed(spark, folder):
+    return B.index_summary(bars_mixed(spark, folder))
 
 
 @query
@@ -242,7 +267,7 @@ def coverage_status(spark, folder):
     wanted = listing(spark, folder).select("symbol").unionByName(
         spark.range(1).select(F.lit("S_MISSING").alias("symbol"))
     )
-    return Q.coverage(B.in_range(bars(spark, folder), "1995-01-01", "1996-01-01"), wanted)
+    return Q.coverage(bars(spark, folder), wanted)
 
 
 @query
@@ -257,7 +282,11 @@ def candles_1h(spark, folder):
 
 @query
 def candlestick_1y(spark, folder):
-    return jobs.candlestick(bars(spark, folder), "S1").drop("symbol", "interval")
+    """From a table split by month, of which the last year's folders are read."""
+    path = scratch(spark, "chart")
+    df = C.with_month(bars(spark, folder))
+    sinks.write_bars(df, path)
+    return jobs.candlestick(readers.read_bars(spark, path, df.schema), "S1").drop("symbol", "interval", "month")
 
 
 @query
@@ -265,18 +294,22 @@ def candlestick_1y_all(spark, folder):
     return jobs.candlestick(bars(spark, folder)).drop("interval")
 
 
+@query
+def candlestick_mixed(spark, folder):
+    return jobs.candlestick(bars_mixed(spark, folder))
+
+
 @query
 def search_top10(spark, folder):
     return jobs.search(bars(spark, folder), n=10)
 
 
-def _movers(group: str) -> Query:
-    return lambda spark, folder: jobs.top_movers(bars(spark, folder), "2000-06-30", group).withColumn(
-        "value", rounded("value", 4)
-    )
+def _movers(view, group: str) -> Query:
+    return lambda spark, folder: jobs.top_movers(view(spark, folder), group).withColumn("value", rounded("value", 4))
 
 
-QUERIES |= {g: _movers(g) for g in ("top_gain", "top_lose", "top_volume")}
+QUERIES |= {g: _movers(bars, g) for g in ("top_gain", "top_lose", "top_volume")}
+QUERIES |= {f"{g}_mixed": _movers(bars_mixed, g) for g in ("top_gain", "top_lose", "top_volume")}
 
 
 # Parsing and quality
@@ -307,6 +340,19 @@ def parse_market_json(spark, folder):
     )
 
 
+def half_readable(events: DataFrame, volume: Column) -> Column:
+    """JSON text of events, in which every seventh volume is a word."""
+    text = F.to_json(F.struct("*"))
+    return F.when(volume % 7 == 0, F.regexp_replace(text, '"volume":[0-9.]+', '"volume":"many"')).otherwise(text).alias("value")
+
+
+@query
+def parse_partial(spark, folder):
+    events = E.to_stock_events(bars(spark, folder), "test")
+    rows = E.stock_bars(events.select(half_readable(events, F.col("data.volume"))))
+    return rows.select(*schemas.BAR_COLUMNS, F.col(E.CORRUPT).isNotNull().alias("corrupt"))
+
+
 @query
 def flatten_nested(spark, folder):
     return E.flatten_bars(E.nest_prices(bars(spark, folder)))
@@ -366,7 +412,7 @@ def _profiles(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def profile_event(spark, folder):
     events = E.profile_events(_profiles(spark, folder), "s_name", "2001-01-01T00:00:00Z", "test")
-    return events.select("symbol", F.explode("data").alias("field", "value"))
+    return events.select("event_type", "symbol", F.explode("data").alias("field", "value"))
 
 
 @query
@@ -404,7 +450,12 @@ def dedup_latest(spark, folder):
 
 @query
 def completeness_gate(spark, folder):
-    return Q.completeness(bars(spark, folder), 5)
+    return Q.completeness(bars(spark, folder), 5).drop("interval")
+
+
+@query
+def completeness_mixed(spark, folder):
+    return Q.completeness(bars_mixed(spark, folder), 5)
 
 
 @query
@@ -476,6 +527,56 @@ def land_market(spark, folder):
     return landed.select("index_code", "trade_date", *schemas.PRICE_COLUMNS)
 
 
+@query
+def land_market_revised(spark, folder):
+    """Two revisions of every bar in one read; the one ingested last counts."""
+    path = scratch(spark, "revised")
+    index = index_names(bars(spark, folder)).withColumnRenamed("symbol", "index_code")
+    first = E.to_index_events(index.withColumn("open", F.col("open") + 1000), "test", "2001-01-01T00:00:00Z")
+    second = E.to_index_events(index, "test", "2001-01-02T00:00:00Z")
+    jobs.land_market(E.to_kafka_records(second.unionByName(first), "index", "index_code"), path)
+    landed = readers.read_bars(spark, path, schemas.INDEX_BARS)
+    return landed.select("index_code", "trade_date", *schemas.PRICE_COLUMNS, "ingest_time")
+
+
+@query
+def land_intraday(spark, folder):
+    """Ticks as bars of a minute: a day's bars are all kept."""
+    path = scratch(spark, "intraday")
+    price = [F.col("price").cast("double").alias(c) for c in ("open", "high", "low", "close")]
+    events = ticks(spark, folder).select(
+        "symbol", F.lit("1m").alias("interval"), F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
+        F.col("ts").cast("string").alias("event_time"), F.lit("test").alias("source"), F.struct(*price, "volume").alias("data"))
+    for _ in range(2):
+        jobs.land_ohlcv(E.to_kafka_records(events, "bars", "symbol"), path)
+    landed = readers.read_bars(spark, path)
+    return landed.select("symbol", F.col("bar_time").cast("timestamp_ntz").alias("ts"), F.col("close").cast("bigint").alias("price"), "volume")
+
+
+@query
+def land_rejected(spark, folder):
+    """What landing refuses, with its reason; the rest is in the table."""
+    path = scratch(spark, "refused")
+    events = E.to_stock_events(bars(spark, folder), "test")
+    text = F.to_json(F.struct("*"))
+    value = F.when(F.col("data.volume") % 10 == 0, F.substring(text, 1, 60)).when(
+        F.col("data.volume") % 10 == 1, F.regexp_replace(text, '"event_date":"[^"]*"', '"event_date":"soon"')).otherwise(text)
+    jobs.land_ohlcv(events.select(value.alias("value")), path)
+    refused = spark.read.parquet(f"{path}.rejected").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    kept = readers.read_bars(spark, path).agg(F.lit("landed").alias("reason"), F.count(F.lit(1)).alias("n"))
+    return refused.unionByName(kept)
+
+
+@query
+def upsert_within_batch(spark, folder):
+    """Every key twice in one batch; the later version counts."""
+    path = scratch(spark, "versions")
+    df = C.with_month(bars(spark, folder))
+    twice = df.withColumn("version", F.lit(1)).unionByName(raised(df).withColumn("version", F.lit(2)))
+    sinks.upsert(twice, path, schemas.BAR_KEY, ["version"])
+    return spark.read.parquet(path).select(*DAY, "close")
+
+
 @query
 def serving_merge(spark, folder):
     df = closes(spark, folder)
@@ -529,14 +630,29 @@ def ols_close(spark, folder):
     return df.select("symbol", *[rounded(c, 3).alias(c) for c in ("slope", "intercept")])
 
 
+def _split_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = bars_mixed(spark, folder).select("symbol", "interval", "trade_date", "close")
+    return predict.time_split(predict.labelled(mixed), CUT)[1]
+
+
+@query
+def naive_rmse_mixed(spark, folder):
+    return predict.naive_rmse(_split_mixed(spark, folder)).withColumn("value", rounded("value", 3))
+
+
+@query
+def naive_r2_mixed(spark, folder):
+    return predict.naive_r2(_split_mixed(spark, folder)).withColumn("value", rounded("value", 3))
+
+
 @query
 def naive_rmse(spark, folder):
-    return predict.naive_rmse(_split(spark, folder)[1]).withColumn("value", rounded("value", 3))
+    return predict.naive_rmse(_split(spark, folder)[1]).withColumn("value", rounded("value", 3)).drop("interval")
 
 
 @query
 def naive_r2(spark, folder):
-    return predict.naive_r2(_split(spark, folder)[1]).withColumn("value", rounded("value", 3))
+    return predict.naive_r2(_split(spark, folder)[1]).withColumn("value", rounded("value", 3)).drop("interval")
 
 
 @query
@@ -589,6 +705,18 @@ def stream_parse(spark, folder):
     )
 
 
+@query
+def stream_parse_partial(spark, folder):
+    """A stream in which every seventh volume cannot be read; its events stay."""
+    root = scratch(spark, "partial")
+    price = [F.col("price").alias(c) for c in ("open", "high", "low", "close")]
+    flat = _tick_text(ticks(spark, folder)).select(F.col("ts").alias("time"), "symbol", *price, "volume")
+    flat.select(half_readable(flat, F.col("volume"))).write.mode("append").text(f"{root}/in")
+    _drain(E.intraday_bars(readers.read_stream(spark, "text", {}, f"{root}/in")), S.append_batches(f"{root}/out"), root)
+    out = spark.read.parquet(f"{root}/out")
+    return out.select("symbol", F.col("time").cast("timestamp_ntz").alias("ts"), F.col("close").cast("bigint").alias("price"), "volume")
+
+
 @query
 def stream_ema_upsert(spark, folder):
     root = scratch(spark, "ema")

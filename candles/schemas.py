@@ -29,15 +29,18 @@ TICK_EVENT = _struct(ts=TEXT, symbol=TEXT, event_id=LONG, price=LONG, volume=LON
 
 BARS = _struct(
     symbol=TEXT, interval=TEXT, trade_date=T.DateType(), open=REAL, high=REAL, low=REAL,
-    close=REAL, volume=LONG, event_date=TEXT, event_time=TEXT, source=TEXT, month=TEXT,
+    close=REAL, volume=LONG, event_date=TEXT, event_time=TEXT, source=TEXT, bar_time=TEXT,
+    source_offset=LONG, month=TEXT,
 )
 
 INDEX_BARS = _struct(
     index_code=TEXT, trade_date=T.DateType(), event_type=TEXT, open=REAL, high=REAL, low=REAL,
     close=REAL, volume=LONG, event_date=TEXT, event_time=TEXT, ingest_time=TEXT, source=TEXT,
-    year=T.IntegerType(), event_month=T.IntegerType(), month=TEXT,
+    year=T.IntegerType(), event_month=T.IntegerType(), source_offset=LONG, month=TEXT,
 )
 
 PRICE_COLUMNS = ["open", "high", "low", "close", "volume"]
 BAR_COLUMNS = ["symbol", "interval", "trade_date", *PRICE_COLUMNS]
 BAR_KEY = ["symbol", "interval", "trade_date"]
+# Bars below a day also have a time; that of others is NULL.
+LANDED_KEY = [*BAR_KEY, "bar_time"]

@@ -49,6 +49,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch folders that are no longer needed."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def apply_defaults(spark: SparkSession) -> None:
     """Put the defaults on a session that somebody else built."""
     for key, value in DEFAULTS.items():

@@ -75,10 +75,9 @@ def folder_summary(spark: SparkSession, path: str, ext: str = "") -> DataFrame:
     )
 
 
-def partition_values(df: DataFrame, columns: list[str], most: int) -> list | None:
-    """Distinct partition values if there are at most `most`, else None."""
-    rows = df.select(*columns).distinct().limit(most + 1).collect()
-    return rows if len(rows) <= most else None
+def partition_values(df: DataFrame, columns: list[str]) -> list:
+    """Distinct partition values: names of folders, as many as the table's layout has at most."""
+    return df.select(*columns).distinct().collect()
 
 
 def any_of(rows: list, columns: list[str]) -> Column:

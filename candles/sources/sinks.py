@@ -9,14 +9,12 @@ from pyspark.sql import types as T
 
 from candles.operators.incremental import replace_latest
 from candles.operators.quality import dedup_latest
-from candles.session import scratch
+from candles.session import discard, scratch
 from candles.sources.readers import any_of, partition_values
 
 # Monthly folders keep files large; one folder per symbol and day would not.
 BAR_PARTITIONS = ["interval", "month"]
 INDEX_PARTITIONS = ["month"]
-# An upsert that touches more folders than this prunes by a join instead of a predicate.
-MOST_TOUCHED = 1000
 
 
 def write_bars(
@@ -59,28 +57,35 @@ def upsert(
 ) -> None:
     """Insert or replace whole rows by key in a partitioned Parquet table.
 
-    A row replaces the stored one unless it is older by `order`. Partition columns must be
-    functions of the key. Only the folders that `df` touches are read and rewritten. The
-    incoming rows and the merged folders are written to scratch first: a lost executor does
-    not recompute the feed, and no plan overwrites a folder it reads. Rerunning is harmless.
+    A row replaces the stored one unless it is older by `order`. Without `order` there is no telling
+    which of two rows is newer, so a key that repeats within `df` is refused. Partition columns must
+    be functions of the key, and `df` must have all stored columns; columns it has besides are NULL
+    in the rows stored before. Only the folders that `df` touches are read and rewritten; their names
+    are few, so they always make a predicate. The incoming rows and the merged folders are written to
+    scratch first and removed when the table is complete: a lost executor does not recompute the feed,
+    and no plan overwrites a folder it reads. Rerunning is harmless.
     """
     spark = df.sparkSession
-    newest = dedup_latest(df, key, list(order))
-    stored = read_table(spark, path, newest.schema)
-    if stored is None:
-        write_bars(newest, path, partition_cols)
-        return
+    known = read_table(spark, path)
+    missing = [c for c in known.columns if c not in df.columns] if known is not None else []
+    if missing:
+        raise ValueError(f"the table has columns that the rows lack: {missing}")
     arrived, merged = scratch(spark, "arrived"), scratch(spark, "merged")
-    newest.write.parquet(arrived)
-    incoming = spark.read.schema(newest.schema).parquet(arrived)
-    touched = partition_values(incoming, partition_cols, MOST_TOUCHED)
-    if touched is None:
-        folders = incoming.select(*partition_cols).distinct()
-        stored = stored.join(folders, partition_cols, "left_semi")
-    else:
-        stored = stored.filter(any_of(touched, partition_cols))
-    replace_latest(stored.select(*newest.columns), incoming, key, list(order)).write.parquet(merged)
-    write_bars(spark.read.schema(newest.schema).parquet(merged), path, partition_cols, mode="replace")
+    df.write.parquet(arrived)
+    incoming = spark.read.schema(df.schema).parquet(arrived)
+    try:
+        if not order and not incoming.groupBy(*key).count().filter("count > 1").isEmpty():
+            raise ValueError("a key repeats, and nothing tells which row is newer")
+        newest = dedup_latest(incoming, key, list(order)) if order else incoming
+        if known is None:
+            write_bars(newest, path, partition_cols)
+            return
+        touched = any_of(partition_values(incoming, partition_cols), partition_cols)
+        stored = read_table(spark, path, df.schema).filter(touched)
+        replace_latest(stored.select(*newest.columns), newest, key, list(order)).write.parquet(merged)
+        write_bars(spark.read.schema(df.schema).parquet(merged), path, partition_cols, mode="replace")
+    finally:
+        discard(spark, arrived, merged)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:

@@ -47,6 +47,17 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def bars_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily bars and, as bars of their own, the weekly ones made of them."""
+    daily = bars(spark, folder)
+    week = F.date_add(F.date_trunc("week", "trade_date").cast("date"), 6)
+    weekly = daily.groupBy("symbol", week.alias("trade_date")).agg(
+        F.min_by("open", "trade_date").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max_by("close", "trade_date").alias("close"), F.sum("volume").alias("volume"),
+        F.max(F.lit("1W")).alias("interval"))
+    return daily.unionByName(weekly)
+
+
 def ticks(spark: SparkSession, folder: str) -> DataFrame:
     """One trade per event; the event type is the symbol."""
     return table(spark, folder, "events").select(

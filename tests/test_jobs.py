@@ -125,9 +125,9 @@ def test_weeks_end_on_sunday(spark):
 
 def test_resample_skips_missing_prices(spark):
     df = spark.createDataFrame(
-        [("A", D(2024, 1, 1), None, 2.0, 1.0, 5.0, 1), ("A", D(2024, 1, 2), 3.0, 4.0, 1.0, None, None),
-         ("B", D(2024, 1, 1), None, 2.0, 1.0, 5.0, 1)],
-        "symbol string, trade_date date, open double, high double, low double, close double, volume bigint")
+        [("A", "1D", D(2024, 1, 1), None, 2.0, 1.0, 5.0, 1), ("A", "1D", D(2024, 1, 2), 3.0, 4.0, 1.0, None, None),
+         ("B", "1D", D(2024, 1, 1), None, 2.0, 1.0, 5.0, 1)],
+        "symbol string, interval string, trade_date date, open double, high double, low double, close double, volume bigint")
     assert [tuple(r) for r in B.resample(df, "1M").collect()] == [("A", D(2024, 1, 31), 3.0, 4.0, 1.0, 5.0, 1)]
 
 
@@ -207,8 +207,7 @@ def test_upsert_twice_is_once_and_leaves_other_months_alone(spark, tmp_path):
     assert january == {f: os.path.getmtime(f"{path}/interval=1D/month=2024-01/{f}") for f in january}
 
 
-def test_upsert_beyond_the_partition_limit(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "MOST_TOUCHED", 1)
+def test_upsert_of_some_folders(spark, tmp_path):
     path = str(tmp_path / "t")
     old = C.with_month(frame(spark, *[bar("A", D(2024, m, 1)) for m in range(1, 7)]))
     sinks.upsert(old, path, schemas.BAR_KEY)
@@ -226,6 +225,53 @@ def test_an_older_event_does_not_replace_a_newer_one(spark, tmp_path):
     assert [r.close for r in readers.read_bars(spark, path).collect()] == [3.0]
 
 
+def test_upsert_refuses_to_lose_columns_or_guess_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = C.with_month(frame(spark, bar("A", D(2024, 1, 1)))).withColumn("source", F.lit("x"))
+    sinks.upsert(df, path, schemas.BAR_KEY)
+    with pytest.raises(ValueError, match="source"):
+        sinks.upsert(df.drop("source"), path, schemas.BAR_KEY)
+    with pytest.raises(ValueError, match="repeats"):
+        sinks.upsert(df.unionByName(df), path, schemas.BAR_KEY)
+    sinks.upsert(df.withColumn("more", F.lit(1)), path, schemas.BAR_KEY)
+    assert spark.read.parquet(path).first().source == "x"
+
+
+def test_compaction_refuses_to_choose_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_bars(C.with_month(frame(spark, bar("A", D(2024, 1, 1)), bar("B", D(2024, 1, 1)))), path)
+    with pytest.raises(ValueError, match="partition"):
+        jobs.compact(spark, path, sinks.BAR_PARTITIONS, "symbol = 'A'")
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_scratch_is_left_empty(spark, tmp_path):
+    before = set(os.listdir(scratch_root(spark)))
+    path = str(tmp_path / "t")
+    for _ in range(2):
+        sinks.upsert(C.with_month(frame(spark, bar("A", D(2024, 1, 1)))), path, schemas.BAR_KEY)
+    jobs.compact(spark, path, sinks.BAR_PARTITIONS)
+    assert set(os.listdir(scratch_root(spark))) == before
+
+
+def test_events_that_cannot_be_landed_are_kept_and_counted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    raw = values(spark, event(), "junk", "junk", event(day="soon"), event(volume="many", day="2024-12-21"), '{"interval": "1D"}')
+    for _ in range(2):
+        assert jobs.land_ohlcv(raw, path) == 3
+    rows = readers.read_bars(spark, path).orderBy("trade_date").collect()
+    assert [(r.trade_date.day, r.volume, r.close) for r in rows] == [(20, 2500000, 121.5), (21, None, 121.5)]
+    refused = spark.read.parquet(f"{path}.rejected").collect()
+    assert sorted(r.reason for r in refused) == ["no date", "no symbol", "not json"]
+
+
+def test_the_place_in_the_source_breaks_ties(spark, tmp_path):
+    path = str(tmp_path / "t")
+    raw = spark.createDataFrame([(event(close=9.0), 1), (event(close=2.0), 2)], "value string, offset long")
+    jobs.land_ohlcv(raw, path)
+    assert [r.close for r in readers.read_bars(spark, path).collect()] == [2.0]
+
+
 def test_compaction_leaves_one_file_per_folder(spark, tmp_path):
     path = str(tmp_path / "t")
     df = C.with_month(frame(spark, *[bar("A", D(2024, 1, d)) for d in range(1, 29)], bar("A", D(2024, 2, 1))))
@@ -293,12 +339,13 @@ def test_late_rows_are_found_by_key_but_not_by_date(spark):
 
 
 def test_top_movers_of_a_single_bar(spark):
-    df = frame(spark, bar("A", D(2024, 1, 1)), bar("B", D(2024, 1, 1)), bar("B", D(2024, 1, 2), 11.0),
-               bar("C", D(2024, 1, 1), 0.0), bar("C", D(2024, 1, 2), 1.0))
-    assert [tuple(r) for r in jobs.top_movers(df, "2024-01-05", "top_gain").orderBy("rank").collect()] == [
+    df = frame(spark, bar("A", D(2024, 1, 2)), bar("B", D(2024, 1, 1)), bar("B", D(2024, 1, 2), 11.0),
+               bar("C", D(2024, 1, 1), 0.0), bar("C", D(2024, 1, 2), 1.0), bar("OLD", D(2023, 1, 1)), bar("OLD", D(2023, 1, 2), 90.0),
+               bar("B", D(2024, 1, 7), 99.0, interval="1W"))
+    assert [tuple(r) for r in jobs.top_movers(df, "top_gain", as_of="2024-01-05").orderBy("rank").collect()] == [
         (1, "B", pytest.approx(10.0)), (2, "A", 0.0)]
     with pytest.raises(ValueError):
-        jobs.top_movers(df, "2024-01-05", "top_secret")
+        jobs.top_movers(df, "top_secret")
 
 
 # Prediction
