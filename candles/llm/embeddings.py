@@ -118,10 +118,7 @@ def linked_pairs(
     """Rows i and j of verified pairs that meet in table `number` and in none before it. Rows are sorted
     by group and height; part tells the slices of a group that is to compare two of them (-1: all)."""
     unit = units(vectors)
-    turned = table.turned(unit)
-    keys = table.keys(turned)
-    heights_all = turned[:, table.sort_at]
-    first = turned[:, :table.dimension]
+    first = unit @ table.basis[:, :table.dimension]
     out_i, out_j = [], []
     alive, shift = np.arange(len(unit)), 0
     while len(alive):
@@ -136,9 +133,12 @@ def linked_pairs(
             i = i[np.einsum("nd,nd->n", unit[i], unit[i + shift]) >= cosine]
             j = i + shift
             if number and len(i):
-                met = (keys[i, :number] == keys[j, :number]) & (
-                    np.abs(heights_all[i, :number] - heights_all[j, :number]) <= table.window)
-                i, j = i[~met.any(axis=1)], j[~met.any(axis=1)]
+                own, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+                turned = table.turned(unit[own])
+                keys, heights_all = table.keys(turned)[:, :number], turned[:, table.sort_at[:number]]
+                a, b = place[:len(i)], place[len(i):]
+                met = ((keys[a] == keys[b]) & (np.abs(heights_all[a] - heights_all[b]) <= table.window)).any(axis=1)
+                i, j = i[~met], j[~met]
             out_i.append(i)
             out_j.append(j)
     return (np.concatenate(out_i), np.concatenate(out_j)) if out_i else (alive, alive)
