@@ -173,6 +173,5 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 def replay_order(ticks: DataFrame, series: Series | None = None) -> DataFrame:
     """Number the rows of every symbol, so that step i replays the i-th row of each symbol."""
-    series = series or TICKS.fitted(ticks)
-    past = with_past(ticks, series, 1, {"n": lambda cur, prev: F.lit(1)})
+    past = with_past(ticks, series or TICKS, 1, {"n": lambda cur, prev: F.lit(1)})
     return past.filter(~F.col("_copied")).withColumnRenamed("_total_n", "step").drop("_copied", "_slice")

@@ -20,8 +20,8 @@ from candles.operators.series import (
     RowValue,
     Series,
     earlier,
+    matched,
     so_far,
-    whole,
     with_past,
 )
 
@@ -249,102 +249,91 @@ def ema(
 
     `periods` maps output column to period. A NULL leaves the average where it was.
 
-    With r = 1 - k, e(t) = r^t * (e(0) + k * sum(x(i) * r^-i)): one running sum. It is taken
-    over blocks of a slice short enough for r^-i to stay finite, and e(0) of a block follows
-    from the sums of what lies before it. Whatever is older than `reach` values has a weight
-    below exp(-100) and cannot change a double.
+    With r = 1 - k, e(t) = r^t * (e(0) + k * sum(x(i) * r^-i)): one running sum. It is taken over
+    blocks of values short enough for r^-i to stay finite. A block maps the average before it to the
+    one after it, w * e + v with w = r^size; these maps are put together along the blocks of a slice,
+    and then along the slices of a series, so that every value counts.
     """
-    frame = series.frame()
-    cut = series.sliced(df).repartition(*series.keys, "_slice")
-    ratio = {name: 1 - 2 / (p + 1) for name, p in periods.items()}
-    reach = max((math.ceil(-100 / math.log(r)) for r in ratio.values() if r > 0), default=1)
-
+    ratio = {n: 1 - 2 / (p + 1) for n, p in periods.items()}
     x = F.col(column).cast("double")
+    frame, parts = series.frame(), series.parts
+    cut = series.cut(df).repartition(*parts)
+    longest = min((int(-300 / math.log(r)) for r in ratio.values() if r > 0), default=300)
     at = F.count(column).over(so_far(frame))
-    summary = (
-        cut.withColumns({"_at": at, "_size": F.count(column).over(whole(frame))})
-        .groupBy(*series.keys, "_slice")
-        .agg(
-            F.max("_size").alias("_size"),
-            F.first(F.when(F.col("_at") == 1, x), ignorenulls=True).alias("_first"),
-            *[
-                F.sum(x * (1 - r) * F.pow(F.lit(r), F.col("_size") - F.col("_at"))).alias(f"_own_{n}")
-                for n, r in ratio.items()
-            ],
-        )
+    marked = cut.withColumns({
+        "_at": at, "_block": F.floor(F.greatest(at - 1, F.lit(0)) / longest).cast("int"),
+    }).withColumn("_place", F.col("_at") - F.col("_block") * longest)
+
+    def own(r: float) -> Column:
+        if r == 0:  # period 1: the average is the value itself
+            return F.coalesce(F.max_by(x, F.when(x.isNotNull(), F.col("_at"))), F.lit(0.0))
+        return F.pow(F.lit(r), F.max("_place")) * F.coalesce(
+            F.sum(x * (1 - r) * F.pow(F.lit(r), -F.col("_place"))), F.lit(0.0))
+
+    blocks = marked.groupBy(*parts, "_block").agg(
+        F.max("_place").alias("n"),
+        F.max(F.when((F.col("_at") == 1) & x.isNotNull(), x)).alias("_first"),
+        *[own(r).alias(f"v_{n}") for n, r in ratio.items()],
     )
-    order = series.slices()
-    own = F.struct(*[F.coalesce(f"_own_{n}", F.lit(0.0)).alias(n) for n in ratio])
-    summary = summary.withColumns({
-        "_start": F.coalesce(F.sum("_size").over(earlier(order)), F.lit(0)),
-        "_first": F.first("_first", ignorenulls=True).over(so_far(order)),
-        "_prior": F.lag(own).over(order),
-    }).withColumn("_prior", F.when(F.col("_prior").isNotNull(), F.struct("_start", "_prior")))
-    near = series.slices("_start").rangeBetween(-reach, 0)
-    summary = summary.withColumn("_near", F.collect_list("_prior").over(near))
-
-    def enter(name: str, r: float) -> Column:
-        def add(total: Column, slice_: Column) -> Column:
-            age = F.col("_start") - slice_["_start"]
-            return total + slice_["_prior"][name] * F.pow(F.lit(r), age)
-
-        opening = F.col("_first") * F.pow(F.lit(r), F.col("_start"))
-        return F.aggregate("_near", opening, add)
-
-    entering = summary.select(
-        *series.keys,
-        "_slice",
-        F.lit(True).alias("_copied"),
-        "_start",
-        *[enter(n, r).alias(f"_enter_{n}") for n, r in ratio.items()],
-    ).repartition(*series.keys, "_slice")
-
-    # The entering row has no time, so it sorts before the bars of its slice.
-    merged = cut.withColumn("_copied", F.lit(False)).unionByName(entering, allowMissingColumns=True)
-    merged = merged.withColumns({
-        "_at": at,
-        "_start": F.max("_start").over(so_far(frame)),
-        **{f"_enter_{n}": F.max(f"_enter_{n}").over(so_far(frame)) for n in ratio},
-    }).filter(~F.col("_copied"))
+    slices = blocks.groupBy(*parts).agg(
+        F.sum("n").alias("_values"), F.max("_first").alias("_first"),
+        F.sort_array(F.collect_list(F.struct("_block", "n", *[f"v_{n}" for n in ratio]))).alias("_blocks"),
+    ).withColumns({f"_map_{n}": _folded(n, r) for n, r in ratio.items()})
+    maps = [f"_map_{n}" for n in ratio]
+    if series.dated:
+        slices = slices.withColumn("_start", F.lit(0)).withColumns({f"_enter_{n}": F.col("_first") for n in ratio})
+    else:
+        slices = _along_slices(slices, series, list(ratio))
+    entering = slices.select(*parts, "_start", *maps, *[f"_enter_{n}" for n in ratio])
+
+    out = matched(marked, entering, parts)
+    within = so_far(Window.partitionBy(*parts, "_block").orderBy(*series.order))
+    known = F.col("_start") + F.col("_at") > 0
     for name, r in ratio.items():
-        merged = _averaged(merged, series, name, x, r, _most_rows(df, series))
-    return merged.drop("_copied", "_slice", "_at", "_start", *[f"_enter_{n}" for n in ratio])
+        block = F.element_at(f"_map_{name}.before", F.col("_block") + 1)
+        before = block["w"] * F.col(f"_enter_{name}") + block["v"]
+        if r == 0:
+            value = F.coalesce(F.last(x, ignorenulls=True).over(within), before)
+        else:
+            total = F.coalesce(F.sum(x * (1 - r) * F.pow(F.lit(r), -F.col("_place"))).over(within), F.lit(0.0))
+            value = F.pow(F.lit(r), F.col("_place")) * (before + total)
+        out = out.withColumn(name, F.when(known, value))
+    return out.drop("_slice", "_at", "_block", "_place", "_start", *maps, *[f"_enter_{n}" for n in ratio])
 
 
-def _most_rows(df: DataFrame, series: Series) -> float:
-    """How many rows a slice can hold: a DATE occurs once per series, other times may repeat."""
-    days = {"decade": 3653, "year": 366, "quarter": 92, "month": 31, "week": 7}
-    dated = df.schema[series.time].dataType.typeName() == "date" and len(series.order) == 1
-    return days.get(series.grain, math.inf) if dated else math.inf
+def _folded(name: str, r: float) -> Column:
+    """The maps before each of `_blocks`, and (w, v) of all of them together."""
+    kind = "array<struct<w: double, v: double>>"
 
+    def step(done: Column, block: Column) -> Column:
+        weight = F.pow(F.lit(r), block["n"])
+        return F.struct(
+            (done["w"] * weight).alias("w"), (done["v"] * weight + block[f"v_{name}"]).alias("v"),
+            F.concat(done["before"], F.array(F.struct(done["w"].alias("w"), done["v"].alias("v")))).alias("before"))
 
-def _averaged(
-    df: DataFrame, series: Series, name: str, x: Column, r: float, most_rows: float
-) -> DataFrame:
-    """Add the average `name`, given `_at` (values so far in the slice) and what enters it."""
-    if r <= 0:  # period 1: the average is the value itself
-        return df.withColumn(name, F.last(x, ignorenulls=True).over(so_far(series.frame())))
-    enter, k = F.col(f"_enter_{name}"), 1 - r
-    if most_rows <= -650 / math.log(r):  # r^-i stays below 1e283
-        total = F.coalesce(F.sum(x * k * F.pow(F.lit(r), -F.col("_at"))).over(so_far(series.frame())), F.lit(0.0))
-        value = F.pow(F.lit(r), F.col("_at")) * (enter + total)
-        return df.withColumn(name, F.when(F.col("_start") + F.col("_at") > 0, value))
-
-    # Of the blocks before this one only the last counts: r^longest is exp(-300).
-    longest = int(-300 / math.log(r))
-    slice_ = [*series.keys, "_slice"]
-    blocks = Window.partitionBy(*slice_).orderBy("_block").rangeBetween(-1, -1)
-    within = so_far(Window.partitionBy(*slice_, "_block").orderBy(*series.order))
-    df = df.withColumn("_block", F.floor(F.greatest(F.col("_at") - 1, F.lit(0)) / longest))
-    df = df.withColumn("_place", F.col("_at") - F.col("_block") * longest)
-    total = F.sum(x * k * F.pow(F.lit(r), -F.col("_place"))).over(within)
-    before = F.sum(x * k * F.pow(F.lit(r), longest - F.col("_place"))).over(blocks)
-    df = df.withColumns({"_total": F.coalesce(total, F.lit(0.0)), "_before": F.coalesce(before, F.lit(0.0))})
-    base = F.col("_before") + enter * F.pow(F.lit(r), F.col("_block") * longest)
-    value = F.pow(F.lit(r), F.col("_place")) * (base + F.col("_total"))
-    return df.withColumn(name, F.when(F.col("_start") + F.col("_at") > 0, value)).drop(
-        "_block", "_place", "_total", "_before"
-    )
+    start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("v"), F.array().cast(kind).alias("before"))
+    return F.aggregate("_blocks", start, step)
+
+
+def _along_slices(slices: DataFrame, series: Series, names: list[str]) -> DataFrame:
+    """Put the slices' maps together by doubling: after i rounds a row stands for 2^i slices."""
+    order = series.slices()
+    rounds = ((slices.agg(F.max("_slice")).first()[0] or 0) + 1).bit_length()
+    joined = slices.withColumns({
+        "_start": F.coalesce(F.sum("_values").over(earlier(order)), F.lit(0)),
+        "_opening": F.first("_first", ignorenulls=True).over(so_far(order)),
+        **{f"_w_{n}": F.col(f"_map_{n}.w") for n in names}, **{f"_v_{n}": F.col(f"_map_{n}.v") for n in names},
+    })
+    for i in range(rounds):
+        far = {c: F.coalesce(F.lag(c, 2**i).over(order), F.lit(d)) for n in names for c, d in ((f"_w_{n}", 1.0), (f"_v_{n}", 0.0))}
+        joined = joined.withColumns({f"{c}_far": value for c, value in far.items()})
+        joined = joined.withColumns({
+            **{f"_v_{n}": F.col(f"_v_{n}") + F.col(f"_w_{n}") * F.col(f"_v_{n}_far") for n in names},
+            **{f"_w_{n}": F.col(f"_w_{n}") * F.col(f"_w_{n}_far") for n in names},
+        }).drop(*[f"{c}_far" for c in far])
+    return joined.withColumns({
+        f"_enter_{n}": F.coalesce(F.lag(f"_w_{n}").over(order), F.lit(1.0)) * F.col("_opening")
+        + F.coalesce(F.lag(f"_v_{n}").over(order), F.lit(0.0)) for n in names})
 
 
 def macd(

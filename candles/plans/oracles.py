@@ -192,9 +192,9 @@ where trade_date = (select max(trade_date) from bars x where x.symbol = b.symbol
   {r('ret')} as daily_return, {r(f'avg(ret) {RUNNING}')} as cumulative_return, {r(RSI)} as rsi14
 from steps""", STEPS),
     "ema_one_step": per_bar("close * (2.0 / 6) + prev * (1 - 2.0 / 6)", "ema"),
-    "ema12": recursive_ema(f"select symbol, trade_date, {r('e12', 2)} as ema from walk"),
-    "macd": recursive_ema(f"""select symbol, trade_date, {r('e12 - e26', 2)} as macd,
-  {r('sig', 2)} as signal, {r('e12 - e26 - sig', 2)} as histogram from walk"""),
+    "ema12": recursive_ema(f"select symbol, trade_date, {r('e12')} as ema from walk"),
+    "macd": recursive_ema(f"""select symbol, trade_date, {r('e12 - e26')} as macd,
+  {r('sig')} as signal, {r('e12 - e26 - sig')} as histogram from walk"""),
     "next_close_label": w(" select symbol, trade_date, close, close_next from labels_ where close_next is not null", LABELS),
     "replay_order": w(""" select row_number() over (partition by symbol order by ts, event_id) as step,
   symbol, event_id from ticks""", TICKS),
@@ -289,6 +289,13 @@ from ticks""", TICKS),
 numbered as (select *, row_number() over (partition by symbol order by ts, event_id) as n from ticks)
 select symbol, ts, event_id, {r('''case when n >= 20 then avg(price) over (partition by symbol order by ts, event_id
   rows between 19 preceding and current row) end''')} as value from numbered""", TICKS),
+    "stream_rsi14": w(f""",
+numbered as (select *, row_number() over (partition by symbol order by ts, event_id) as n,
+  coalesce(price - lag(price) over (partition by symbol order by ts, event_id), 0) as change from ticks),
+summed as (select *, sum(greatest(change, 0)) over w as gain, sum(greatest(-change, 0)) over w as loss from numbered
+  window w as (partition by symbol order by ts, event_id rows between 13 preceding and current row))
+select symbol, ts, event_id, {r("case when n >= 14 then 100 - 100 / (1 + (gain / 14.0) / greatest(loss / 14.0, 1e-8)) end")} as value
+from summed""", TICKS),
     "stream_ema_stateful": w(f""",
 numbered as materialized (select symbol, ts, event_id, cast(price as double) as price,
   row_number() over (partition by symbol order by ts, event_id) as n from ticks),

@@ -204,13 +204,13 @@ def ema_one_step(spark, folder):
 
 @query
 def ema12(spark, folder):
-    return I.ema(closes(spark, folder), {"ema": 12}).select(*DAY, rounded("ema", 2).alias("ema"))
+    return I.ema(closes(spark, folder), {"ema": 12}).select(*DAY, rounded("ema", 4).alias("ema"))
 
 
 @query
 def macd(spark, folder):
     lines = ["macd", "signal", "histogram"]
-    return I.macd(closes(spark, folder)).select(*DAY, *[rounded(c, 2).alias(c) for c in lines])
+    return I.macd(closes(spark, folder)).select(*DAY, *[rounded(c, 4).alias(c) for c in lines])
 
 
 @query
@@ -720,7 +720,7 @@ def stream_parse_partial(spark, folder):
 @query
 def stream_ema_upsert(spark, folder):
     root = scratch(spark, "ema")
-    series = Series(keys=("symbol",), order=("time",), grain="day")
+    series = Series(keys=("symbol",), order=("time",), dated=False)
     _drain(_bar_feed(spark, folder, root), S.ema_batches(f"{root}/out", 5, series), root)
     out = sinks.read_batches(spark, f"{root}/out", ["es_id"])
     return out.select(F.col("es_id").alias("row_key"), rounded("ema", 4).alias("ema"))
@@ -771,6 +771,11 @@ def stream_sma20(spark, folder):
     return _remembered(spark, folder, "sma", lambda m: m.sma(20))
 
 
+@query
+def stream_rsi14(spark, folder):
+    return _remembered(spark, folder, "rsi", lambda m: m.rsi(14))
+
+
 @query
 def stream_ema_stateful(spark, folder):
     return _remembered(spark, folder, "stateful-ema", lambda m: m.ema(5))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -46,7 +48,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch root."""
-    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    for made in _watched:
+        made.append(path)
+    return path
 
 
 def discard(spark: SparkSession, *paths: str) -> None:
@@ -56,6 +61,21 @@ def discard(spark: SparkSession, *paths: str) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+_watched: list[list[str]] = []
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside, once what reads them has been written."""
+    made: list[str] = []
+    _watched.append(made)
+    try:
+        yield
+    finally:
+        _watched.remove(made)
+        discard(spark, *made)
+
+
 def apply_defaults(spark: SparkSession) -> None:
     """Put the defaults on a session that somebody else built."""
     for key, value in DEFAULTS.items():

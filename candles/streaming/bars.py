@@ -8,8 +8,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from candles.functions.columns import row_key
 from candles.operators.bars import candles, newest
-from candles.operators.indicators import ema, ema_one_step, sma
+from candles.operators.indicators import ema, ema_one_step, rsi, sma
 from candles.operators.series import TICKS, Series
+from candles.session import discard, scratch, scratch_removed
 from candles.sources.sinks import read_batches, read_table, write_batch
 
 
@@ -33,8 +34,7 @@ def append_batches(path: str):
     """Micro-batch sink: each batch in its own folder, so a replay writes the same rows again."""
 
     def each(rows: DataFrame, batch_id: int) -> None:
-        if not rows.isEmpty():
-            write_batch(rows, path, batch_id)
+        write_batch(rows, path, batch_id)
 
     return each
 
@@ -43,13 +43,12 @@ def ema_batches(path: str, period: int = 5, series: Series = TICKS, value: str =
     """Per micro-batch: one-step EMA within the batch, row key, keyed append."""
 
     def each(rows: DataFrame, batch_id: int) -> None:
-        if rows.isEmpty():
-            return
         close = rows if value == "close" else rows.withColumn("close", F.col(value))
-        keyed = ema_one_step(close, period, series.fitted(rows)).withColumn(
-            "es_id", row_key(*series.keys, F.col(series.time).cast("string"))
-        )
-        write_batch(keyed, path, batch_id)
+        with scratch_removed(rows.sparkSession):
+            keyed = ema_one_step(close, period, series).withColumn(
+                "es_id", row_key(*series.keys, F.col(series.time).cast("string"))
+            )
+            write_batch(keyed, path, batch_id)
 
     return each
 
@@ -80,7 +79,13 @@ class Remembered:
         self.path, self.series, self.value = path, series, value
 
     def _state(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        return read_table(spark, f"{self.path}/state/{batch_id - 1}") if batch_id > 0 else None
+        """What the batch before left; a series must not silently start afresh without it."""
+        if batch_id == 0:
+            return None
+        state = read_table(spark, f"{self.path}/state/{batch_id - 1}")
+        if state is None:
+            raise ValueError(f"the state after batch {batch_id - 1} is missing below {self.path}")
+        return state
 
     def _split_late(self, rows: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         if state is None:
@@ -94,25 +99,31 @@ class Remembered:
     def _run(self, rows: DataFrame, batch_id: int, keep: int, compute, remember) -> None:
         spark = rows.sparkSession
         columns = [*self.series.keys, *self.series.order, "close"]
-        batch = rows.withColumn("close", F.col(self.value).cast("double")).select(*columns).persist()
-        try:
-            state = self._state(spark, batch_id)
+        state = self._state(spark, batch_id)
+        batch = rows.withColumn("close", F.col(self.value).cast("double")).select(*columns)
+        late_path = f"{self.path}/late"
+        with scratch_removed(spark):
+            # The source and what stands before this sink run once: everything starts from this copy.
+            copied = scratch(spark, "batch")
+            batch.write.parquet(copied)
+            batch = spark.read.schema(batch.schema).parquet(copied)
             fresh, late = self._split_late(batch, state)
+            write_batch(late, late_path, batch_id)
             both = fresh.withColumn("_old", F.lit(False))
             if state is not None:
-                both = both.unionByName(state.select(*columns).withColumn("_old", F.lit(True)))
-            done = compute(both, self.series.fitted(batch))
-            write_batch(done.filter(~F.col("_old")).drop("_old"), f"{self.path}/out", batch_id)
-            write_batch(late, f"{self.path}/late", batch_id)
-        finally:
-            batch.unpersist()
-        # The written output is read back, so that the state costs no second pass.
-        out = spark.read.parquet(f"{self.path}/out/batch={batch_id}")
-        kept = remember(out).select(*columns)
-        if state is not None:
-            kept = kept.unionByName(state.select(*columns))
-        kept = newest(kept, keep, self.series.keys, self.series.order).drop("nth")
-        kept.write.mode("overwrite").parquet(f"{self.path}/state/{batch_id}")
+                # Only series that ticked are computed; the others' state is passed on.
+                ticked = batch.select(*self.series.keys).distinct()
+                old = state.join(ticked, list(self.series.keys), "left_semi")
+                both = both.unionByName(old.select(*columns).withColumn("_old", F.lit(True)))
+            write_batch(compute(both).filter(~F.col("_old")).drop("_old"), f"{self.path}/out", batch_id)
+            # The written output is read back, so that the state costs no second pass.
+            kept = remember(spark.read.parquet(f"{self.path}/out/batch={batch_id}")).select(*columns)
+            if state is not None:
+                kept = kept.unionByName(state.select(*columns))
+            kept = newest(kept, keep, self.series.keys, self.series.order).drop("nth")
+            kept.write.mode("overwrite").parquet(f"{self.path}/state/{batch_id}")
+        if batch_id > 1:  # a replay needs the state before the last batch, nothing older
+            discard(spark, f"{self.path}/state/{batch_id - 2}")
 
     def sma(self, n: int):
         """Micro-batch function: mean of the last `n` values as `value`."""
@@ -120,7 +131,20 @@ class Remembered:
         def each(rows: DataFrame, batch_id: int) -> None:
             self._run(
                 rows, batch_id, max(n - 1, 1),
-                lambda both, series: sma(both, n, series, "value"),
+                lambda both: sma(both, n, self.series, "value"),
+                lambda out: out,
+            )
+
+        return each
+
+    def rsi(self, n: int = 14):
+        """Micro-batch function: relative strength over the last `n` changes as `value`. The change of
+        the oldest remembered row is not looked at, so one more row is kept."""
+
+        def each(rows: DataFrame, batch_id: int) -> None:
+            self._run(
+                rows, batch_id, n,
+                lambda both: rsi(both, n, self.series, "value"),
                 lambda out: out,
             )
 
@@ -132,7 +156,7 @@ class Remembered:
         def each(rows: DataFrame, batch_id: int) -> None:
             self._run(
                 rows, batch_id, 1,
-                lambda both, series: ema(both, {"value": period}, series=series),
+                lambda both: ema(both, {"value": period}, series=self.series),
                 lambda out: out.withColumn("close", F.col("value")),
             )
 

@@ -7,6 +7,7 @@ from candles.operators import bars as B
 from candles.operators import indicators as I
 from candles.operators import quality as Q
 from candles.operators.incremental import replace_latest
+from candles.operators.series import TICKS
 from candles.plans import jobs
 from candles.sources import sinks
 from candles.sources.tables import bars, ticks
@@ -30,20 +31,15 @@ def stored(spark, tmp_path):
     return spark.read.parquet(path)
 
 
-def test_indicators_shuffle_the_bars_once(spark, tmp_path):
+def test_indicators_of_bars_shuffle_and_sort_once(spark, tmp_path):
     plan = run_plan(I.indicators(stored(spark, tmp_path).drop("month")))
-    # The bars; one row per slice to its series; the copied rows back to their slices.
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    reused = [line for line in exchanges if "ReusedExchange" in line]
-    assert (len(exchanges) - len(reused), len(reused)) == (3, 1)
-    # Union keeps the partitioning of its children, so nothing follows it.
-    union = plan.index("Union")
-    assert "Exchange" not in plan[:union]
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert len(re.findall(r"[+*:| -]Sort(?: \(| \[)", plan)) == 1
 
 
 def test_windows_never_lack_a_slice(spark):
-    plan = first_plan(I.indicators(bars(spark, FOLDER)))
-    row_windows = [line for line in plan.splitlines() if "windowspecdefinition" in line and "trade_date" in line]
+    plan = first_plan(I.sma(ticks(spark, FOLDER).withColumnRenamed("price", "close"), 20, TICKS))
+    row_windows = [line for line in plan.splitlines() if "windowspecdefinition" in line and "event_id" in line]
     assert row_windows and all("_slice" in line for line in row_windows)
 
 

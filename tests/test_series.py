@@ -54,20 +54,25 @@ def sorted_pandas(df):
     return df.toPandas().sort_values(["symbol", "trade_date"]).reset_index(drop=True)
 
 
-@pytest.mark.parametrize("grain", ["decade", "year", "month", "day"])
-def test_indicators_equal_brute_force(spark, grain):
+def in_pieces(n, series=BARS):
+    """The series as it is, or cut into so many slices."""
+    return replace(series, dated=n is None, pieces=n)
+
+
+@pytest.mark.parametrize("pieces", [None, 1, 7, 150])
+def test_indicators_equal_brute_force(spark, pieces):
     bars = random_bars(spark).withColumns({c: F.col("close") for c in ("open", "high", "low")}).cache()
-    mine = sorted_pandas(I.indicators(bars, replace(BARS, grain=grain)))
+    mine = sorted_pandas(I.indicators(bars, in_pieces(pieces)))
     theirs = brute(bars.toPandas())
     for c in theirs.columns[2:]:
         np.testing.assert_allclose(mine[c].astype(float), theirs[c], rtol=1e-9, atol=1e-9, err_msg=c)
 
 
-@pytest.mark.parametrize("grain", ["decade", "year", "day"])
+@pytest.mark.parametrize("pieces", [None, 1, 40])
 @pytest.mark.parametrize("period", [1, 2, 12, 300])
-def test_ema_equals_recursion(spark, grain, period):
+def test_ema_equals_recursion(spark, pieces, period):
     bars = random_bars(spark, seed=1).cache()
-    mine = sorted_pandas(I.ema(bars, {"e": period}, series=replace(BARS, grain=grain)))
+    mine = sorted_pandas(I.ema(bars, {"e": period}, series=in_pieces(pieces)))
     expected = mine.groupby("symbol").close.transform(lambda s: s.ewm(span=period, adjust=False).mean())
     np.testing.assert_allclose(mine.e, expected, rtol=1e-12)
 
@@ -81,11 +86,11 @@ def seconds(spark, n, nulls=False):
     return df, pd.Series(values)
 
 
-@pytest.mark.parametrize("grain", ["year", "minute"])
-def test_ema_of_long_slices(spark, grain):
+@pytest.mark.parametrize("pieces", [None, 1, 30])
+def test_ema_of_long_slices(spark, pieces):
     """Far more values per slice than r^-i could take."""
     df, values = seconds(spark, 9000)
-    series = Series(("symbol",), ("ts",), grain)
+    series = in_pieces(pieces, Series(("symbol",), ("ts",)))
     lines = I.macd(I.ema(df, {"fast": 2, "slow": 50}, series=series), series=series).orderBy("ts").toPandas()
     e = {p: values.ewm(span=p, adjust=False).mean() for p in (2, 50, 12, 26)}
     np.testing.assert_allclose(lines.fast, e[2], rtol=1e-12)
@@ -97,8 +102,8 @@ def test_ema_of_long_slices(spark, grain):
 
 def test_ema_skips_nulls(spark):
     df, values = seconds(spark, 900, nulls=True)
-    for grain in ("year", "minute"):
-        mine = I.ema(df, {"e": 7}, series=Series(("symbol",), ("ts",), grain)).orderBy("ts").toPandas()
+    for pieces in (None, 50):
+        mine = I.ema(df, {"e": 7}, series=in_pieces(pieces, Series(("symbol",), ("ts",)))).orderBy("ts").toPandas()
         known = values.dropna().ewm(span=7, adjust=False).mean().reindex(values.index).ffill()
         np.testing.assert_allclose(mine.e, known, rtol=1e-12)
 
@@ -114,8 +119,8 @@ def test_macd_with_equal_periods(spark):
 
 
 def test_next_close_looks_forward_over_slices(spark):
-    for grain in ("decade", "month"):
-        mine = sorted_pandas(I.next_close(random_bars(spark), replace(BARS, grain=grain), time="next_date"))
+    for pieces in (None, 30):
+        mine = sorted_pandas(I.next_close(random_bars(spark), in_pieces(pieces), time="next_date"))
         whole = sorted_pandas(random_bars(spark))
         whole["close_next"] = whole.groupby("symbol").close.shift(-1)
         whole["next_date"] = whole.groupby("symbol").trade_date.shift(-1)
@@ -124,28 +129,35 @@ def test_next_close_looks_forward_over_slices(spark):
         assert mine.next_date.tolist() == whole.next_date.tolist()
 
 
-def test_fitted_measures_the_fullest_slice(spark):
-    df, _ = seconds(spark, 7200)
-    series = Series(("symbol",), ("ts",))
-    assert series.fitted(df, 7200).grain == "decade"
-    assert series.fitted(df, 7199).grain == "minute"
-    assert series.fitted(df, 59).grain == "second"
-    assert series.fitted(df, 0).grain == "second"
-
-
 def test_replay_order_numbers_every_row(spark):
     df, _ = seconds(spark, 300)
     ticks = df.withColumn("event_id", F.monotonically_increasing_id()).drop("close")
-    for grain in ("year", "second"):
-        steps = replay_order(ticks, replace(TICKS, grain=grain)).orderBy("ts").toPandas().step
+    for pieces in (1, 60):
+        steps = replay_order(ticks, replace(TICKS, pieces=pieces)).orderBy("ts").toPandas().step
         assert steps.tolist() == list(range(1, 301))
 
 
-def test_a_hot_symbol_is_spread_over_its_slices(spark):
-    bars = random_bars(spark, hot=2000)
-    cut = with_past(bars, replace(BARS, grain="year"), 5)
-    sizes = [r["count"] for r in cut.filter("symbol = 'HOT'").groupBy("_slice").count().collect()]
-    assert sum(sizes) >= 2000 and max(sizes) < 400
+def test_a_hot_symbol_is_spread_over_slices(spark):
+    """Nine tenths of the ticks in one symbol, many in one instant: slices stay even and copies few."""
+    n = 20_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 10 > 0, "HOT").otherwise(F.concat(F.lit("C"), F.col("id") % 7)).alias("symbol"),
+        F.timestamp_seconds(F.least(F.col("id") % 5000, F.lit(3000))).alias("ts"), F.col("id").alias("event_id"),
+        (F.col("id") % 13).alias("close"))
+    past = with_past(rows, replace(TICKS, pieces=20), 5)
+    sizes = [r["count"] for r in past.filter("symbol = 'HOT' and not _copied").groupBy("_slice").count().collect()]
+    assert sum(sizes) == 18_000 and len(sizes) >= 10 and max(sizes) <= 3 * n / 20
+    assert n <= past.count() <= 1.2 * n
+    steps = replay_order(rows, replace(TICKS, pieces=20)).groupBy("symbol").agg(F.max("step").alias("a"), F.countDistinct("step").alias("b"))
+    assert all(r.a == r.b for r in steps.collect())
+
+
+def test_a_series_without_a_symbol_is_one_too(spark):
+    df = spark.createDataFrame([(None, i, i, float(i)) for i in range(40)], "symbol string, ts long, event_id long, close double")
+    for series in (replace(TICKS, pieces=8), Series(("symbol",), ("ts",))):
+        assert I.sma(df, 3, series).filter("ma3 is not null").count() == 38
+        last = I.ema(df, {"e": 3}, series=series).orderBy(F.desc("ts")).first().e
+        assert last == pytest.approx(pd.Series(range(40)).ewm(span=3, adjust=False).mean().iloc[-1])
 
 
 def test_total_volume_zero_and_close_zero(spark):
@@ -153,8 +165,8 @@ def test_total_volume_zero_and_close_zero(spark):
     df = spark.createDataFrame(rows, "symbol string, interval string, trade_date date, close bigint, volume bigint")
     vwap = I.vwap(df).orderBy("trade_date").toPandas().vwap
     assert vwap.tolist() == [0, 0, 0, 0]
-    for grain in ("decade", "day"):
-        series = replace(BARS, grain=grain)
+    for pieces in (None, 4):
+        series = in_pieces(pieces)
         returns = [r.daily_return for r in I.daily_return(df, series).orderBy("trade_date").collect()]
         assert returns == [0.0, -100.0, None, 0.0]
         means = [r.cumulative_return for r in I.running_mean_return(df, series).orderBy("trade_date").collect()]

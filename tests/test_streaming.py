@@ -73,6 +73,25 @@ def test_a_replayed_batch_changes_nothing(feed, spark):
     assert sorted(memory.result(spark).collect()) == once and len(once) == 20
 
 
+def test_lost_state_is_noticed(feed, spark):
+    each = S.Remembered(f"{feed.root}/memory").sma(3)
+    with pytest.raises(ValueError, match="state"):
+        each(spark.createDataFrame([tick(1)], TICK), 7)
+
+
+def test_scratch_and_old_state_are_removed(feed, spark):
+    import os
+
+    from candles.session import scratch_root
+
+    before = set(os.listdir(scratch_root(spark)))
+    each = S.Remembered(f"{feed.root}/memory").rsi(14)
+    for i in range(4):
+        each(spark.createDataFrame([tick(i)], TICK), i)
+    assert set(os.listdir(scratch_root(spark))) == before
+    assert sorted(os.listdir(f"{feed.root}/memory/state")) == ["2", "3"]
+
+
 def test_late_rows_are_kept_apart(feed, spark):
     memory = S.Remembered(f"{feed.root}/memory")
     each = memory.sma(3)
@@ -124,7 +143,7 @@ def test_one_step_ema_restarts_with_each_batch(feed, spark):
     for part in ([tick(0), tick(1)], [tick(2), tick(3)]):
         feed.add(*part)
         feed.drain(feed.stream(), each)
-    each(spark.createDataFrame([], TICK), 99)  # an empty batch writes nothing
+    each(spark.createDataFrame([], TICK), 99)  # an empty batch adds nothing
     out = sinks.read_batches(spark, f"{feed.root}/out", ["es_id"]).orderBy("ts").collect()
     assert [r.ema for r in out] == [None, pytest.approx(101 / 3 + 100 * 2 / 3), None, pytest.approx(103 / 3 + 102 * 2 / 3)]
     assert out[0].es_id == "A_2024-01-02 09:00:00"
