@@ -14,8 +14,8 @@ from candles.operators.incremental import SERIES_KEY, new_rows
 from candles.operators.indicators import VIEW_PAST, indicators
 from candles.operators.quality import counted
 from candles.operators.series import BARS, Series
-from candles.session import discard, scratch
-from candles.sources.sinks import BAR_PARTITIONS, INDEX_PARTITIONS, upsert, write_bars
+from candles.session import discard, scratch, scratch_removed
+from candles.sources.sinks import BAR_PARTITIONS, INDEX_PARTITIONS, read_table, upsert, write_bars
 
 INDEX_KEY = ["index_code", "trade_date"]
 
@@ -88,6 +88,38 @@ def analyst(
     raise ValueError(f"unknown history {history!r}")
 
 
+def run_daily(bars: DataFrame, path: str) -> None:
+    """Keep the daily view at `path`: whole bars replaced by key, in the folders that `bars` touches."""
+    upsert(with_month(daily_view(bars)), path, schemas.BAR_KEY)
+
+
+def run_analyst(bars: DataFrame, path: str, series: Series = BARS) -> None:
+    """Keep the indicator view at `path` up to date with `bars`.
+
+    Beside the view lies a small table of each series' newest rows and totals (`path`.state). A run reads
+    that table and the months of `bars` from the oldest of its newest dates on, computes the rows that are
+    newer than their series' newest, and upserts them; rows that are older, or come with a new series from
+    before those months, are late and left to a full run. A run that is repeated after a failure starts
+    from the same state and writes the same rows.
+    """
+    spark, state_path = bars.sparkSession, f"{path.rstrip('/')}.state"
+    state = read_table(spark, state_path)
+    if state is not None and "month" in bars.columns:
+        ends = latest_date(state, series.keys, series.time)
+        first = ends.agg(F.date_format(F.min("latest_date"), "yyyy-MM")).first()[0]
+        bars = bars.filter(F.col("month") >= F.lit(first)) if first is not None else bars
+    with scratch_removed(spark):
+        fresh = analyst(bars, state, "full" if state is None else "continue", series=series)
+        computed = scratch(spark, "computed")
+        fresh.write.parquet(computed)
+        fresh = spark.read.schema(fresh.schema).parquet(computed)
+        upsert(with_month(fresh), path, [*series.keys, series.time])
+        both = fresh if state is None else state.select(*fresh.columns).unionByName(fresh)
+        kept, held = newest(both, VIEW_PAST, series.keys, series.order).drop("nth"), scratch(spark, "state")
+        kept.write.parquet(held)
+        spark.read.schema(kept.schema).parquet(held).write.mode("overwrite").parquet(state_path)
+
+
 def compact(spark: SparkSession, path: str, partition_cols: list[str], where: str | None = None) -> None:
     """Rewrite the chosen partitions into few, sorted files.
 

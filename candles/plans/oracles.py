@@ -378,3 +378,31 @@ union all select 'not json', count(*) from (
   select distinct symbol from bars where volume % 10 = 0)""", BARS),
     "upsert_within_batch": w(" select symbol, trade_date, close + 1 as close from bars", BARS),
 }
+ORACLES["analyst_view_twice"] = ORACLES["indicators_all"]
+ORACLES["daily_view_twice"] = w(""" select symbol, trade_date,
+  case when trade_date >= date '2000-01-01' then close + 1 else close end as close,
+  symbol || '_' || "interval" || '_' || cast(trade_date as varchar) as es_id from bars""", BARS)
+ORACLES["ml_forest"] = w(" select symbol, count(*) as n from test group by 1", LABELS)
+
+
+def least_squares() -> str:
+    """Residuals of the label after taking out one feature after another, by sums over the training rows."""
+    names = ["open", "high", "low", "close", "volume", "y"]
+    centred = ", ".join(f"cast({'close_next' if c == 'y' else c} as double) - avg("
+                        f"{'close_next' if c == 'y' else c}) filter (where training) over () as {c}" for c in names)
+    steps = [f"""
+step0 as materialized (
+  select training, cast(close_next as double) as label, {centred}
+  from (select *, trade_date < date '2000-01-01' as training from labels_ where close_next is not null))"""]
+    for i, feature in enumerate(names[:-1]):
+        rest = ", ".join(
+            f"{c} - {feature} * (sum({c} * {feature}) filter (where training) over ()"
+            f" / sum({feature} * {feature}) filter (where training) over ()) as {c}" for c in names[i + 1:])
+        steps.append(f"step{i + 1} as materialized (select training, label, {rest} from step{i})")
+    return ", ".join(steps)
+
+
+ORACLES["ml_linear"] = w(f""", {least_squares()},
+scores as (select sqrt(avg(y * y)) as rmse, 1 - avg(y * y) / var_pop(label) as r2 from step5 where not training)
+select 'linear' as model, 'rmse' as metric, {r('rmse', 2)} as value from scores
+union all select 'linear', 'r2', {r('r2', 2)} from scores""", LABELS)

@@ -85,6 +85,20 @@ def train_and_score(
     return metrics_frame(bars.sparkSession, metrics)
 
 
+def linear_scores(bars: DataFrame, cut: str) -> DataFrame:
+    """RMSE and R2 of the linear model over all bars."""
+    train, test = time_split(labelled(bars), cut)
+    scores = evaluate(fit_linear(train.select(*PRICE_COLUMNS, LABEL)).transform(test))
+    return metrics_frame(bars.sparkSession, [("linear", name, value) for name, value in scores.items()])
+
+
+def forest_coverage(bars: DataFrame, cut: str, trees: int = 20) -> DataFrame:
+    """Rows the forest scored per symbol."""
+    train, test = time_split(labelled(bars), cut)
+    scored = fit_forest(train.select(*PRICE_COLUMNS, LABEL), trees).transform(test).select("symbol", "prediction")
+    return scored.filter("prediction is not null").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+
+
 def ols_close(train: DataFrame) -> DataFrame:
     """One-feature least squares per symbol: next close on close."""
     return train.groupBy(*SERIES).agg(

@@ -498,6 +498,27 @@ def analyst_continued(spark, folder):
     return fresh.select(*exact, *[rounded(c, 4).alias(c) for c in I.INDICATOR_COLUMNS[8:]])
 
 
+@query
+def analyst_view_twice(spark, folder):
+    """The view over the old bars, kept up to date when the rest arrives in the monthly table."""
+    root = scratch(spark, "analyst")
+    df = C.with_month(bars(spark, folder))
+    for part in (before(df), since(df)):
+        sinks.write_bars(part, f"{root}/bars")
+        jobs.run_analyst(readers.read_bars(spark, f"{root}/bars", df.schema), f"{root}/view")
+    view = spark.read.parquet(f"{root}/view")
+    return view.select(*I.INDICATOR_COLUMNS[:8], *[rounded(c, 4).alias(c) for c in I.INDICATOR_COLUMNS[8:]])
+
+
+@query
+def daily_view_twice(spark, folder):
+    path = scratch(spark, "daily")
+    df = bars(spark, folder)
+    jobs.run_daily(before(df, "2000-06-01"), path)
+    jobs.run_daily(raised(since(df)), path)
+    return spark.read.parquet(path).select(*DAY, "close", "es_id")
+
+
 @query
 def upsert_latest(spark, folder):
     path = scratch(spark, "upsert")
@@ -655,6 +676,16 @@ def naive_r2(spark, folder):
     return predict.naive_r2(_split(spark, folder)[1]).withColumn("value", rounded("value", 3)).drop("interval")
 
 
+@query
+def ml_linear(spark, folder):
+    return predict.linear_scores(bars(spark, folder), CUT).withColumn("value", rounded("value", 2))
+
+
+@query
+def ml_forest(spark, folder):
+    return predict.forest_coverage(bars(spark, folder), CUT)
+
+
 @query
 def ml_metrics(spark, folder):
     return predict.train_and_score(bars(spark, folder), CUT)

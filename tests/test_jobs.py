@@ -348,6 +348,21 @@ def test_top_movers_of_a_single_bar(spark):
         jobs.top_movers(df, "top_secret")
 
 
+def test_a_second_analyst_run_reads_new_months_only(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    df = C.with_month(frame(spark, *[bar(s, D(2024, m, d), 10.0 + d, d) for s in "AB" for m in (1, 2, 3) for d in (1, 9)]))
+    sinks.write_bars(df.filter("month < '2024-03'"), path)
+    jobs.run_analyst(readers.read_bars(spark, path, df.schema), f"{path}-view")
+    january = os.listdir(f"{path}-view/interval=1D/month=2024-01")
+    sinks.write_bars(df.filter("month = '2024-03'"), path)
+    for _ in range(2):
+        jobs.run_analyst(readers.read_bars(spark, path, df.schema), f"{path}-view")
+    assert os.listdir(f"{path}-view/interval=1D/month=2024-01") == january
+    names = ["symbol", "trade_date", "vwap", "cumulative_return", "daily_return"]
+    of = lambda view: sorted((*r[:2], *[round(x, 9) for x in r[2:]]) for r in view.select(*names).collect())
+    assert of(spark.read.parquet(f"{path}-view")) == of(I.indicators(df.drop("month")))
+
+
 # Prediction
 
 
