@@ -37,8 +37,9 @@ CELL, WINDOW, COUNTED = 6.0, 4.0, 1.5
 #: Share of unrelated pairs that one cell of a coordinate keeps, for vectors in all directions alike.
 KEPT = 0.47
 SLICE = 4096
-#: Candidate pairs looked at together.
-AT_ONCE = 1 << 14
+#: Candidate pairs looked at together, verified pairs held until their tables are looked up, and vectors
+#: turned at once.
+AT_ONCE, PENDING, TURNED = 1 << 14, 1 << 20, 1 << 11
 
 
 class Tables:
@@ -119,8 +120,9 @@ def linked_pairs(
     by group and height; part tells the slices of a group that is to compare two of them (-1: all)."""
     unit = units(vectors)
     first = unit @ table.basis[:, :table.dimension]
-    out_i, out_j = [], []
-    alive, shift = np.arange(len(unit)), 0
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    kept: list[tuple[np.ndarray, np.ndarray]] = []
+    alive, shift, pending = np.arange(len(unit)), 0, 0
     while len(alive):
         shift += 1
         alive = alive[alive + shift < len(unit)]
@@ -131,17 +133,37 @@ def linked_pairs(
             count = (np.abs(first[i] - first[i + shift]) <= table.counted).sum(axis=1)
             i = i[count >= table.least]
             i = i[np.einsum("nd,nd->n", unit[i], unit[i + shift]) >= cosine]
-            j = i + shift
-            if number and len(i):
-                own, place = np.unique(np.concatenate([i, j]), return_inverse=True)
-                turned = table.turned(unit[own])
-                keys, heights_all = table.keys(turned)[:, :number], turned[:, table.sort_at[:number]]
-                a, b = place[:len(i)], place[len(i):]
-                met = ((keys[a] == keys[b]) & (np.abs(heights_all[a] - heights_all[b]) <= table.window)).any(axis=1)
-                i, j = i[~met], j[~met]
-            out_i.append(i)
-            out_j.append(j)
-    return (np.concatenate(out_i), np.concatenate(out_j)) if out_i else (alive, alive)
+            if len(i):
+                found.append((i, i + shift))
+                pending += len(i)
+        if pending > PENDING:
+            kept.append(_not_met_before(table, number, unit, found))
+            found, pending = [], 0
+    if found:
+        kept.append(_not_met_before(table, number, unit, found))
+    if not kept:
+        return alive, alive
+    return np.concatenate([i for i, _ in kept]), np.concatenate([j for _, j in kept])
+
+
+def _not_met_before(
+    table: Tables, number: int, unit: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]],
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs found in table `number` those that meet in none before it."""
+    i, j = (np.concatenate([pair[side] for pair in found]) for side in (0, 1))
+    if not number:
+        return i, j
+    own, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+    keys, heights = np.empty((len(own), number), np.int64), np.empty((len(own), number))
+    for at in range(0, len(own), TURNED):
+        turned = table.turned(unit[own[at:at + TURNED]])
+        keys[at:at + TURNED] = table.keys(turned)[:, :number]
+        heights[at:at + TURNED] = turned[:, table.sort_at[:number]]
+    a, b = place[:len(i)], place[len(i):]
+    met = np.zeros(len(i), bool)
+    for t in range(number):
+        met |= (keys[a, t] == keys[b, t]) & (np.abs(heights[a, t] - heights[b, t]) <= table.window)
+    return i[~met], j[~met]
 
 
 def near_duplicates(
