@@ -21,6 +21,8 @@ from candles.llm.pieces import factorize
 
 #: Labelled documents of each class that a model is fitted on, the only bound on what is read.
 SAMPLE = 1500
+#: Lines of a sequence in training; scores always see whole documents.
+PIECE = 64
 GROUP_BYTES = 4 << 20
 FEATURES = 15
 GOOD = 1
@@ -119,7 +121,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "do
     parts = [np.frombuffer(r.lines, "<f4").reshape(-1, FEATURES).astype(float) for r in found]
     per = np.array([len(p) for p in parts])
     goods = np.repeat([r.good for r in found], per)
-    model = train(with_neighbours(np.concatenate(parts), per), goods, per, 2)
+    # Long documents are trained in pieces: a step of the recursions then serves many sequences.
+    pieces = np.concatenate([np.diff(np.append(np.arange(0, n, PIECE), n)) for n in per])
+    model = train(with_neighbours(np.concatenate(parts), per), goods, pieces, 2)
     return model, sum(r.good for r in found) / len(found)
 
 
