@@ -21,8 +21,8 @@ from candles.llm.pieces import factorize
 
 #: Labelled documents of each class that a model is fitted on, the only bound on what is read.
 SAMPLE = 1500
-#: Lines of a sequence in training; scores always see whole documents.
-PIECE = 64
+#: Lines of a sequence in training (scores always see whole documents), and steps of the training.
+PIECE, ROUNDS = 64, 120
 GROUP_BYTES = 4 << 20
 FEATURES = 15
 GOOD = 1
@@ -123,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "do
     goods = np.repeat([r.good for r in found], per)
     # Long documents are trained in pieces: a step of the recursions then serves many sequences.
     pieces = np.concatenate([np.diff(np.append(np.arange(0, n, PIECE), n)) for n in per])
-    model = train(with_neighbours(np.concatenate(parts), per), goods, pieces, 2)
+    model = train(with_neighbours(np.concatenate(parts), per), goods, pieces, 2, rounds=ROUNDS)
     return model, sum(r.good for r in found) / len(found)
 
 
