@@ -98,16 +98,20 @@ def run_analyst(bars: DataFrame, path: str, series: Series = BARS) -> None:
 
     Beside the view lies a small table of each series' newest rows and totals (`path`.state). A run reads
     that table and the months of `bars` from the oldest of its newest dates on, computes the rows that are
-    newer than their series' newest, and upserts them; rows that are older, or come with a new series from
-    before those months, are late and left to a full run. A run that is repeated after a failure starts
-    from the same state and writes the same rows.
+    newer than their series' newest, and upserts them; rows that are older are late and left to a full run.
+    Of the months before, only the keys are read, and all rows of series that the table lacks. A run that is
+    repeated after a failure starts from the same state and writes the same rows.
     """
     spark, state_path = bars.sparkSession, f"{path.rstrip('/')}.state"
     state = read_table(spark, state_path)
     if state is not None and "month" in bars.columns:
         ends = latest_date(state, series.keys, series.time)
         first = ends.agg(F.date_format(F.min("latest_date"), "yyyy-MM")).first()[0]
-        bars = bars.filter(F.col("month") >= F.lit(first)) if first is not None else bars
+        if first is not None:
+            past = flatten_bars(bars.filter(F.col("month") < F.lit(first)))
+            bars, known = flatten_bars(bars.filter(F.col("month") >= F.lit(first))), ends.select(*series.keys)
+            if not past.select(*series.keys).distinct().join(known, list(series.keys), "left_anti").isEmpty():
+                bars = bars.unionByName(past.join(known, list(series.keys), "left_anti"))
     with scratch_removed(spark):
         fresh = analyst(bars, state, "full" if state is None else "continue", series=series)
         computed = scratch(spark, "computed")

@@ -363,6 +363,23 @@ def test_a_second_analyst_run_reads_new_months_only(spark, tmp_path):
     assert of(spark.read.parquet(f"{path}-view")) == of(I.indicators(df.drop("month")))
 
 
+def test_a_series_new_in_a_later_run_keeps_its_whole_history(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    old = [bar("A", D(2024, m, d), 10.0 + d, d) for m in (2, 3) for d in (1, 9)]
+    new = [bar(s, D(y, m, d), 20.0 + d, m) for s, y, months in (("NEW", 2023, (11, 12)), ("NEW", 2024, (2, 3, 4)), ("GONE", 2023, (5, 6)))
+           for m in months for d in (2, 8)]
+    later = [bar("A", D(2024, 4, 1), 15.0, 3)]
+    sinks.write_bars(C.with_month(frame(spark, *old)), path)
+    df = C.with_month(frame(spark, *old, *new, *later))
+    jobs.run_analyst(readers.read_bars(spark, path, df.schema), f"{path}-view")
+    sinks.write_bars(C.with_month(frame(spark, *new, *later)), path)
+    for _ in range(2):
+        jobs.run_analyst(readers.read_bars(spark, path, df.schema), f"{path}-view")
+    names = ["symbol", "trade_date", "vwap", "cumulative_return", "daily_return"]
+    of = lambda view: sorted((*r[:2], *[round(x, 9) for x in r[2:]]) for r in view.select(*names).collect())
+    assert of(spark.read.parquet(f"{path}-view")) == of(I.indicators(df.drop("month")))
+
+
 # Prediction
 
 
