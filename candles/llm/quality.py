@@ -99,10 +99,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "do
     """(model, score of a text without lines), from at most `sample` documents of either class.
 
     Documents are chosen by a hash of the key. Labels that are null or neither 0 nor 1 and labels of
-    unknown documents do not count; without any, every score is 0.5.
+    unknown documents do not count; without any, every score is 0.5. A text without lines scores the
+    share of good ones among all labels that count, whatever the sample.
     """
     session_of(docs)
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).alias("good"))
+    counted = known.distinct().join(docs.select(F.col(key).alias("k")), "k", "left_semi")
+    share = counted.agg(F.avg("good")).first()[0]
     chosen = [known.where(F.col("good") == c).orderBy(F.xxhash64("k"), "k").limit(sample) for c in (0, 1)]
     chosen = chosen[0].union(chosen[1]).dropDuplicates(["k"])
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(chosen), "k")
@@ -124,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "do
     # Long documents are trained in pieces: a step of the recursions then serves many sequences.
     pieces = np.concatenate([np.diff(np.append(np.arange(0, n, PIECE), n)) for n in per])
     model = train(with_neighbours(np.concatenate(parts), per), goods, pieces, 2, rounds=ROUNDS)
-    return model, sum(r.good for r in found) / len(found)
+    return model, share
 
 
 def score(docs: DataFrame, model: Model, empty: float, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -80,3 +80,10 @@ def test_odd_rows(spark):
     assert len(got) == 5 and sorted(r.score for r in got) == [0.25] * 3 + [0.5] * 2
     assert quality.score(docs.limit(0), model, empty).collect() == []
     assert not spark.createDataFrame([(None,)], "doc_id long").select(quality.held_out()).first()[0]
+
+
+def test_empty_texts_score_the_share_of_all_labels(spark):
+    docs = spark.createDataFrame([(k, f"Line {k} of words.\nOne more.") for k in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k < 6)) for k in range(8)] + [(k, 0) for k in range(90, 99)], "doc_id long, quality int")
+    for sample in (1500, 2):
+        assert quality.fit(docs, labels, sample)[1] == 0.75
