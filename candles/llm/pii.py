@@ -5,8 +5,7 @@ random field labels every word of a text by its shape and the shapes of its neig
 the patterns miss, such as a telephone number without a plus sign. It is trained from the small table
 below, and decoded by Viterbi for all sequences of a batch at once. Its spans never touch a base span.
 
-A sequence is a line; one with more than `WINDOW` words is also cut at each multiple of that many
-words where a word of letters alone begins, so that a decoding step is shared by many sequences.
+A sequence is a whole line, however long.
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ from candles.llm.pieces import _WHITE, factorize
 from candles.llm.quality import groups
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW = 128
 REMEMBERED = 1 << 19
 
 #: The labelled table. <kind ...> marks personal data, all else is none.
@@ -193,7 +191,6 @@ class Tagger:
         self.known: dict[bytes, int] = {}
         self.rows: dict[tuple[str, ...], int] = {}
         self.table = np.zeros((1 << 14, 3, len(KINDS) + 1))
-        self.plain = np.zeros(1 << 14, bool)
         edge = [self.model.weights[self.number[far, "edge"]] for far in (-1, 1)]
         self.edge_before, self.edge_after = edge
 
@@ -218,11 +215,9 @@ class Tagger:
     def _learn(self, at: int, names: tuple[str, ...]) -> None:
         if at >= len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.plain = np.concatenate([self.plain, np.zeros_like(self.plain)])
         for far in (-1, 0, 1):
             rows = [self.number[far, n] for n in names if (far, n) in self.number]
             self.table[at, far + 1] = self.model.weights[rows].sum(axis=0)
-        self.plain[at] = "plain=True" in names
 
     def tag(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
         """(label, begin, end in bytes of the joined texts) of words with a label but none."""
@@ -236,9 +231,7 @@ class Tagger:
         codes, words, _ = factorize(buffer, first, stop)
         placed = self.lookup(words)[codes]
         line = np.searchsorted(np.flatnonzero(data == 10), first)
-        begins = np.flatnonzero(np.diff(line, prepend=-1))
-        nth = np.arange(len(first)) - np.repeat(begins, np.diff(np.append(begins, len(first))))
-        cut = np.flatnonzero((nth == 0) | (nth % WINDOW == 0) & self.plain[placed])
+        cut = np.flatnonzero(np.diff(line, prepend=-1))
         lengths = np.diff(np.append(cut, len(first)))
         scores = self.table[placed, 1]
         inner = np.ones(len(first), bool)

@@ -68,6 +68,12 @@ def test_labels_do_not_depend_on_company():
     assert together == [pii.spans_of([t])[0] for t in texts]
 
 
+def test_long_lines_are_decoded_whole():
+    for before in range(120, 131):
+        text = "word " * before + "bob (at) example (dot) com" + " word" * 140
+        assert [(k, text[a:e]) for k, a, e in pii.spans_of([text.encode()])[0][1]] == [("email", "bob (at) example (dot) com")]
+
+
 def test_query_and_redaction(spark):
     rows = [(1, "x a@b.co y 10.0.0.1", "k"), (2, None, "k"), (2, "", None), (None, "é call (212) 555-0188 now", "k"), (1, "x a@b.co y 10.0.0.1", "k")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")
