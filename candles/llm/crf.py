@@ -94,16 +94,21 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray
 def train(
     features: np.ndarray, labels: np.ndarray, lengths: np.ndarray, classes: int,
     penalty: float = 1e-3, rounds: int = 300, rate: float = 0.1,
+    opens: np.ndarray | None = None, closes: np.ndarray | None = None,
 ) -> Model:
     """Fit by Adam on the mean log-likelihood of a place with a quadratic penalty; every start is
-    zero, so equal tables give equal models. An empty table gives the model that knows nothing."""
+    zero, so equal tables give equal models. An empty table gives the model that knows nothing.
+    Sequences that `opens` or `closes` deny are pieces of longer ones: they say nothing of first or
+    last labels."""
     n, width = features.shape
     model = Model.empty(width, classes)
     if not n:
         return model
-    lengths = np.asarray(lengths)[np.asarray(lengths) > 0]
+    some = np.asarray(lengths) > 0
+    lengths = np.asarray(lengths)[some]
     ends = np.cumsum(lengths) - 1
     starts = ends - lengths + 1
+    opens, closes = (np.ones(len(lengths), bool) if x is None else np.asarray(x, bool)[some] for x in (opens, closes))
     hot = np.eye(classes)[labels]
     inner = np.setdiff1d(np.arange(1, n), starts)
     seen = np.zeros((classes, classes))
@@ -111,9 +116,13 @@ def train(
     parts = [model.weights, model.moves, model.first, model.last]
     means, squares = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     for step in range(1, rounds + 1):
-        marginals, pairs, _ = forward_backward(features @ model.weights, lengths, model)
+        scores = features @ model.weights
+        # The recursions add first and last scores to every sequence.
+        scores[starts[~opens]] -= model.first
+        scores[ends[~closes]] -= model.last
+        marginals, pairs, _ = forward_backward(scores, lengths, model)
         over = marginals - hot
-        slopes = [features.T @ over, pairs - seen, over[starts].sum(axis=0), over[ends].sum(axis=0)]
+        slopes = [features.T @ over, pairs - seen, over[starts[opens]].sum(axis=0), over[ends[closes]].sum(axis=0)]
         for part, slope, mean, square in zip(parts, slopes, means, squares):
             slope = slope / n + penalty * part
             mean += 0.1 * (slope - mean)

@@ -126,7 +126,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "do
     goods = np.repeat([r.good for r in found], per)
     # Long documents are trained in pieces: a step of the recursions then serves many sequences.
     pieces = np.concatenate([np.diff(np.append(np.arange(0, n, PIECE), n)) for n in per])
-    model = train(with_neighbours(np.concatenate(parts), per), goods, pieces, 2, rounds=ROUNDS)
+    number = -(-per[per > 0] // PIECE)
+    opens, closes = np.zeros((2, len(pieces)), bool)
+    opens[np.cumsum(number) - number] = closes[np.cumsum(number) - 1] = True
+    model = train(with_neighbours(np.concatenate(parts), per), goods, pieces, 2, rounds=ROUNDS, opens=opens, closes=closes)
     return model, share
 
 

@@ -87,3 +87,23 @@ def test_empty_texts_score_the_share_of_all_labels(spark):
     labels = spark.createDataFrame([(k, int(k < 6)) for k in range(8)] + [(k, 0) for k in range(90, 99)], "doc_id long, quality int")
     for sample in (1500, 2):
         assert quality.fit(docs, labels, sample)[1] == 0.75
+
+
+def test_only_real_ends_teach_first_and_last(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    labels = np.tile(np.repeat([0, 1, 0], [1, 38, 1]), 20)
+    features = np.column_stack([np.ones(800), rng.normal(size=800)])
+    cut, real = np.full(80, 10), np.arange(80) % 4
+    pieces = crf.train(features, labels, cut, 2, opens=real == 0, closes=real == 3)
+    for ends in (pieces.first, pieces.last):
+        assert ends[0] - ends[1] > 1
+    blind = crf.train(features, labels, cut, 2, opens=real < 0, closes=real < 0)
+    assert not blind.first.any() and not blind.last.any()
+    seen = {}
+    monkeypatch.setattr(quality, "train", lambda *a, **b: seen.update(b, lengths=a[2]) or quality.Model.empty(3 * quality.FEATURES, 2))
+    texts = ["line\n" * 130, "", "line\n" * 64, "line"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    quality.fit(docs, docs.selectExpr("doc_id", "1 as quality"))
+    assert seen["lengths"].tolist() == [64, 64, 2, 64, 1]
+    assert seen["opens"].tolist() == [True, False, False, True, True]
+    assert seen["closes"].tolist() == [False, False, True, True, True]
