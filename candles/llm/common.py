@@ -24,12 +24,12 @@ def session_of(df: DataFrame) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: it is computed once, and a lost
-    executor costs no more than reading it again."""
+def stored(df: DataFrame, name: str, *folders: str) -> DataFrame:
+    """Write `df` to the shared folder, in folders by these columns, and read it back: it is computed
+    once, and a lost executor costs no more than reading it again."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -78,4 +78,16 @@ select doc_id, size, text_crc32, 'key' as law, shard::int as shard,
 from placed
 """
 
-ORACLES = {"op4_warc": OP4, "op5_collisions": OP5, "op6_url_filter": OP6, "op8_jump_hash": OP8}
+OP11 = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+  from whole q join whole c on q.vec_id % 50 = 0 and q.vec_id != c.vec_id),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+ORACLES = {"op4_warc": OP4, "op5_collisions": OP5, "op6_url_filter": OP6, "op8_jump_hash": OP8, "op11_uniform_threshold": OP11}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candles.llm import bpe, embeddings, periodic, pii, quality, sharding, simhash, tiling, token_orc, url_filter, warc
+from candles.llm import bpe, embeddings, periodic, pii, quality, sharding, simhash, tiling, token_orc, topk, url_filter, warc
 from candles.llm.common import table
 from candles.session import scratch
 
@@ -69,6 +69,11 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(pii.detect(table(spark, folder, "documents").select("doc_id", "text")))
 
 
+def op11_uniform_threshold(spark: SparkSession, folder: str) -> DataFrame:
+    """The five vectors with the highest integer inner products for every fiftieth vector."""
+    return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of repeated words in every document, a tenth of which repeat themselves by a rule."""
     docs = periodic.with_repeats(table(spark, folder, "documents"))
@@ -77,5 +82,6 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (op1_simhash, op2_token_orc, op3_bpe, op4_warc, op5_collisions, op6_url_filter, op7_line_quality,
-                           op8_jump_hash, op9_decontamination, op10_pii, op13_periodic_runs)
+                           op8_jump_hash, op9_decontamination, op10_pii,
+                           op11_uniform_threshold, op13_periodic_runs)
 }
