@@ -12,6 +12,8 @@ from candles.session import scratch
 
 #: Rows of an Arrow batch. Long texts make wide rows, so batches are short.
 BATCH_ROWS = 1000
+#: Bytes of an Arrow batch; a longer row is a batch of its own.
+BATCH_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +23,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def session_of(df: DataFrame) -> SparkSession:
     spark = df.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 

@@ -90,4 +90,28 @@ ranked as (
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 
-ORACLES = {"op4_warc": OP4, "op5_collisions": OP5, "op6_url_filter": OP6, "op8_jump_hash": OP8, "op11_uniform_threshold": OP11}
+_FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_FOUND = r"regexp_extract_all(%s, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')" % _FOLDED
+OP12 = f"""
+with docs as materialized (
+  select doc_id, {_FOUND} as terms from documents where text is not null),
+corpus as (select count(*) as n, sum(len(terms))::bigint as total from docs where len(terms) > 0),
+asked as materialized (
+  select distinct item_id, unnest({_FOUND}) as term from benchmark),
+postings as materialized (
+  select doc_id, len(terms) as words, term, count(*) as tf
+  from (select doc_id, terms, unnest(terms) as term from docs)
+  where term in (select term from asked) group by all),
+weights as (
+  select term, floor(1000 * ln((2 * n + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from postings, corpus group by term, n),
+scored as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * words * n) // total))))::bigint as score
+  from asked join postings using (term) join weights using (term), corpus group by item_id, doc_id),
+ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 50
+"""
+
+ORACLES = {"op4_warc": OP4, "op5_collisions": OP5, "op6_url_filter": OP6, "op8_jump_hash": OP8, "op11_uniform_threshold": OP11,
+           "op12_blocked_search": OP12}

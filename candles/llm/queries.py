@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candles.llm import bpe, embeddings, periodic, pii, quality, sharding, simhash, tiling, token_orc, topk, url_filter, warc
+from candles.llm import bpe, embeddings, lexical, periodic, pii, quality, sharding, simhash, tiling, token_orc, topk, url_filter, warc
 from candles.llm.common import table
 from candles.session import scratch
 
@@ -74,6 +74,11 @@ def op11_uniform_threshold(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_blocked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The fifty documents with the highest scores for every item of the benchmark."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of repeated words in every document, a tenth of which repeat themselves by a rule."""
     docs = periodic.with_repeats(table(spark, folder, "documents"))
@@ -83,5 +88,5 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (op1_simhash, op2_token_orc, op3_bpe, op4_warc, op5_collisions, op6_url_filter, op7_line_quality,
                            op8_jump_hash, op9_decontamination, op10_pii,
-                           op11_uniform_threshold, op13_periodic_runs)
+                           op11_uniform_threshold, op12_blocked_search, op13_periodic_runs)
 }
