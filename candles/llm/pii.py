@@ -117,7 +117,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
         return []
     found = [("email", a, e) for a, e in emails(text)]
     for m in _IP.finditer(text):
-        if all(int(p[:-3] or 0) == 0 and int(p[-3:]) <= 255 for p in m.group().split(".")):
+        if all(not p[:-3].strip("0") and int(p[-3:]) <= 255 for p in m.group().split(".")):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = _DIGITS.sub("", m.group())

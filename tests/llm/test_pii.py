@@ -42,6 +42,19 @@ def test_base_spans_equal_the_patterns():
             assert pii.base_spans(text) == []
 
 
+def test_very_long_parts_lines_and_texts(spark):
+    """Numbers, lines and texts far beyond what Python reads as one number."""
+    zeros, ones = "0" * 9_000 + "1", "1" * 9_000
+    texts = [f"{zeros}.2.3.4 x", f"1.2.3.{zeros}", f"{ones}.2.3.4", f"1.2.{ones}.4", f"+{ones}", ones, "word " * 60_000 + "a@b.co",
+             "x" * 300_000 + " 1.2.3.4", "1." * 100_000, "a@" * 50_000, "4 " * 100_000]
+    want = [[("ip", 0, len(zeros) + 6)], [("ip", 0, len(zeros) + 6)], [], [], [], [], [("email", 300_000, 300_006)], [("ip", 300_001, 300_008)]]
+    got = [pii.base_spans(t) for t in texts]
+    assert got[:8] == want and got[8][0] == ("ip", 0, 7) and not any(got[9:])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert clean[0] == "[ip] x" and clean[6].endswith(" [email]") and clean[7].endswith(" [ip]")
+
+
 def test_base_spans_stay_and_all_are_in_order():
     texts = odd_texts()[:500]
     for text, (base, spans) in zip(texts, pii.spans_of([t.encode() for t in texts])):
