@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -49,7 +50,8 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch root."""
     path = os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
-    for made in _watched:
+    made = _made.get()
+    if made is not None:
         made.append(path)
     return path
 
@@ -61,18 +63,23 @@ def discard(spark: SparkSession, *paths: str) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-_watched: list[list[str]] = []
+#: Scratch folders of the block that this thread is in.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 @contextmanager
 def scratch_removed(spark: SparkSession) -> Iterator[None]:
-    """Remove the scratch folders made inside, once what reads them has been written."""
+    """Remove the scratch folders made inside, once what reads them has been written.
+
+    A block owns what its own thread makes in it, less what blocks inside it own; jobs in other threads
+    keep theirs.
+    """
     made: list[str] = []
-    _watched.append(made)
+    token = _made.set(made)
     try:
         yield
     finally:
-        _watched.remove(made)
+        _made.reset(token)
         discard(spark, *made)
 
 
