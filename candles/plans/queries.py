@@ -20,6 +20,7 @@ from candles.session import scratch
 from candles.sources import readers, sinks
 from candles.sources.tables import bars, bars_mixed, listing, reports, table, ticks
 from candles.streaming import bars as S
+from candles.streaming import keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -779,34 +780,38 @@ def stream_candles_5m(spark, folder):
     return out.withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
-def _remembered(spark: SparkSession, folder: str, name: str, pick) -> DataFrame:
-    """Feed January in five parts, one after the other; the state carries over."""
+def _keyed(spark: SparkSession, folder: str, name: str, kind: str, n: int) -> DataFrame:
+    """Feed January in five parts, one after the other, to a running stream; the state carries over."""
     root = scratch(spark, name)
-    memory = S.Remembered(f"{root}/memory")
-    days = ["2024-01-07", "2024-01-13", "2024-01-19", "2024-01-25", None]
-    start = None
-    for end in days:
-        part = _tick_text(ticks(spark, folder).filter(
-            (F.lit(True) if start is None else F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
-            & (F.lit(True) if end is None else F.col("ts") < F.lit(end).cast("timestamp_ntz"))
-        ))
-        _feed(part, f"{root}/in")
-        _drain(_tick_stream(spark, f"{root}/in"), pick(memory), root)
-        start = end
-    out = memory.result(spark)
+    keyed.keep_state(spark)
+    all_ticks = _tick_text(ticks(spark, folder))
+    at, stream = F.col("ts").cast("timestamp_ntz"), None
+    days = [F.lit(d).cast("timestamp_ntz") for d in ("2024-01-07", "2024-01-13", "2024-01-19", "2024-01-25")]
+    parts = [at < days[0], *[(at >= a) & (at < b) for a, b in zip(days, days[1:])], at >= days[-1]]
+    try:
+        for part in parts:
+            _feed(all_ticks.filter(part), f"{root}/in")
+            if stream is None:
+                live = keyed.keyed_indicators(_tick_stream(spark, f"{root}/in"), {"value": (kind, n)})
+                stream = S.start(live, S.append_batches(f"{root}/out"), f"{root}/checkpoint", {"processingTime": "0 seconds"})
+            stream.processAllAvailable()
+    finally:
+        if stream is not None:
+            stream.stop()
+    out = spark.read.parquet(f"{root}/out").filter("not late")
     return out.select("symbol", _naive_ts(), "event_id", rounded("value", 4).alias("value"))
 
 
 @query
 def stream_sma20(spark, folder):
-    return _remembered(spark, folder, "sma", lambda m: m.sma(20))
+    return _keyed(spark, folder, "sma", "sma", 20)
 
 
 @query
 def stream_rsi14(spark, folder):
-    return _remembered(spark, folder, "rsi", lambda m: m.rsi(14))
+    return _keyed(spark, folder, "rsi", "rsi", 14)
 
 
 @query
 def stream_ema_stateful(spark, folder):
-    return _remembered(spark, folder, "stateful-ema", lambda m: m.ema(5))
+    return _keyed(spark, folder, "stateful-ema", "ema", 5)
