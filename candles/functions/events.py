@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candles.functions.columns import event_columns, text_date, text_time
-from candles.schemas import BAR_COLUMNS, INDEX_EVENT, INTRADAY_EVENT, PRICE_COLUMNS, STOCK_EVENT
+from candles.schemas import BAR_COLUMNS, BAR_KEY, INDEX_EVENT, INTRADAY_EVENT, PRICE_COLUMNS, STOCK_EVENT
 
 CORRUPT = "_corrupt"
 # Intervals of minutes and hours; M is a month.
@@ -47,7 +47,11 @@ def _prices(parent: str) -> list[Column]:
 
 
 def stock_bars(events: DataFrame) -> DataFrame:
-    """Raw stock events to flat, typed rows; events that are not JSON give NULL fields."""
+    """Raw stock events to flat, typed rows; events that are not JSON give NULL fields.
+
+    `bar_time` is the time of a bar below a day, from the event's field of that name: the event time is
+    that of the crawl.
+    """
     df = parse_json(events, STOCK_EVENT)
     return df.select(
         "parsed.symbol",
@@ -57,13 +61,23 @@ def stock_bars(events: DataFrame) -> DataFrame:
         "parsed.event_date",
         "parsed.event_time",
         "parsed.source",
-        F.when(F.col("parsed.interval").rlike(BELOW_A_DAY), F.col("parsed.event_time")).alias("bar_time"),
+        F.when(F.col("parsed.interval").rlike(BELOW_A_DAY), F.col("parsed.bar_time")).alias("bar_time"),
         source_offset(df),
         "value",
         CORRUPT,
     )
 
 
+def with_marks(rows: DataFrame) -> DataFrame:
+    """Flat stock rows with `bar_mark`: what tells bars below a day apart whose event did not tell their
+    time, namely their prices and volume, and a number for those of a crawl that agree in all of them."""
+    unmarked = F.coalesce(F.col("interval").rlike(BELOW_A_DAY) & F.col("bar_time").isNull(), F.lit(False))
+    nth = F.row_number().over(Window.partitionBy(*BAR_KEY, "event_time", *PRICE_COLUMNS).orderBy("source_offset", "value"))
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in PRICE_COLUMNS], F.col("_nth").cast("string"))
+    marked = rows.where(unmarked).withColumn("_nth", nth).withColumn("bar_mark", text).drop("_nth")
+    return rows.where(~unmarked).withColumn("bar_mark", F.lit(None).cast("string")).unionByName(marked)
+
+
 def index_bars(events: DataFrame) -> DataFrame:
     """Raw index events to flat, typed rows."""
     df = parse_json(events, INDEX_EVENT)
@@ -94,12 +108,12 @@ def intraday_bars(events: DataFrame) -> DataFrame:
     })
 
 
-def flatten_bars(df: DataFrame) -> DataFrame:
-    """Bars stored flat or with a nested `data` struct, to flat bars."""
+def flatten_bars(df: DataFrame, *more: str) -> DataFrame:
+    """Bars stored flat or with a nested `data` struct, to flat bars, with `more` of their columns."""
     keys = [c for c in BAR_COLUMNS if c not in PRICE_COLUMNS]
     if "data" in df.columns:
-        return df.select(*keys, *[F.col(f"data.{c}").alias(c) for c in PRICE_COLUMNS])
-    return df.select(*BAR_COLUMNS)
+        return df.select(*keys, *[F.col(f"data.{c}").alias(c) for c in PRICE_COLUMNS], *more)
+    return df.select(*BAR_COLUMNS, *more)
 
 
 def nest_prices(df: DataFrame) -> DataFrame:

@@ -38,6 +38,13 @@ def new_rows(
     raise ValueError(f"unknown policy {policy!r}")
 
 
+def changed_rows(df: DataFrame, stored: DataFrame, key: list[str], values: list[str]) -> DataFrame:
+    """Rows of `df` that the stored view lacks or has with other values: late and corrected bars."""
+    held = stored.select(*key, F.struct(*values).alias("_stored"))
+    joined = df.join(held, key, "left")
+    return joined.where(~F.struct(*values).eqNullSafe(F.col("_stored"))).select(*df.columns)
+
+
 def replace_latest(
     stored: DataFrame, incoming: DataFrame, key: list[str] | None = None, order: list[str] = ()
 ) -> DataFrame:

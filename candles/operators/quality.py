@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from candles.operators.calendar import market_days
 from candles.schemas import BAR_KEY
 
 
@@ -43,15 +44,19 @@ def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
-def completeness(df: DataFrame, min_rows: int, day: str = "trade_date") -> DataFrame:
-    """Rows per interval and day and whether they reach `min_rows`."""
+def completeness(df: DataFrame, min_rows: int, day: str = "trade_date", calendar: DataFrame | None = None) -> DataFrame:
+    """Rows per interval and day and whether they reach `min_rows`; with a calendar
+    (`calendar.market_days`) also of its days that have no row."""
     counts = df.groupBy("interval", day).agg(F.count(F.lit(1)).alias("n"))
+    if calendar is not None:
+        counts = calendar.select("interval", day).join(counts, ["interval", day], "left")
+        counts = counts.withColumn("n", F.coalesce("n", F.lit(0)))
     return counts.withColumn("ok", F.col("n") >= min_rows)
 
 
-def is_complete(df: DataFrame, min_rows: int, day: str = "trade_date") -> bool:
-    """The gate before training: there is data, and no day falls short."""
-    verdict = completeness(df, min_rows, day).agg(F.min("ok").alias("ok")).first()
+def is_complete(df: DataFrame, min_rows: int, day: str = "trade_date", holidays: list[str] = ()) -> bool:
+    """The gate before training: there is data, no day falls short, and no market day is absent."""
+    verdict = completeness(df, min_rows, day, market_days(df, holidays, day=day)).agg(F.min("ok").alias("ok")).first()
     return bool(verdict["ok"])
 
 

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candles import schemas
-from candles.functions.columns import normalize_date, row_key, with_month
-from candles.functions.events import CORRUPT, flatten_bars, index_bars, stock_bars
+from candles.functions.columns import normalize_date, row_key, text_time, with_month
+from candles.functions.events import CORRUPT, flatten_bars, index_bars, stock_bars, with_marks
 from candles.operators.bars import latest_date, newest
 from candles.operators.incremental import SERIES_KEY, new_rows
 from candles.operators.indicators import VIEW_PAST, indicators
-from candles.operators.quality import counted
+from candles.operators.quality import counted, is_complete
 from candles.operators.series import BARS, Series
 from candles.session import discard, scratch, scratch_removed
+from candles.sources.readers import any_of, partition_values, run_ended
 from candles.sources.sinks import BAR_PARTITIONS, INDEX_PARTITIONS, read_table, upsert, write_bars
 
 INDEX_KEY = ["index_code", "trade_date"]
@@ -26,12 +27,15 @@ def _land(
 ) -> int:
     reason = F.when(F.col(CORRUPT).isNotNull(), "not json").when(F.col(named).isNull(), f"no {named}").when(
         F.col("trade_date").isNull(), "no date")
-    rows = rows.withColumn("reason", reason)
-    refused, seen = counted(rows.filter("reason is not null").select("value", "reason").distinct(), "rejected")
-    upsert(refused, rejected or f"{path.rstrip('/')}.rejected", ["reason", "value"], [], ["reason"])
-    good = rows.filter("reason is null").drop(CORRUPT, "reason", "value")
-    upsert(with_month(good), path, key, order, partition_cols)
-    return seen.get["n"]
+    with scratch_removed(rows.sparkSession):
+        # The feed is read and parsed once; all that follows starts from this copy.
+        rows = _computed(rows.withColumn("reason", reason), "parsed")
+        refused, seen = counted(rows.filter("reason is not null").select("value", "reason").distinct(), "rejected")
+        upsert(refused, rejected or f"{path.rstrip('/')}.rejected", ["reason", "value"], [], ["reason"])
+        good = rows.filter("reason is null")
+        good = (with_marks(good) if "bar_time" in good.columns else good).drop(CORRUPT, "reason", "value")
+        upsert(with_month(good), path, key, order, partition_cols)
+        return seen.get["n"]
 
 
 def land_ohlcv(
@@ -39,8 +43,10 @@ def land_ohlcv(
 ) -> int:
     """Raw stock events into the bar table; landing the same events again changes nothing.
 
-    Of one bar's events the newest by event time, then by its place in the source, counts; bars below
-    a day are told apart by their time. Events that are not JSON or lack a symbol or date are kept with
+    Of one bar's events the newest by event time, then by its place in the source, counts. Bars below
+    a day are told apart by their time, if the event tells it (`bar_time`; the event time is that of the
+    crawl). Those that do not are all kept: two of a day are the same bar only if they agree in all
+    prices and the volume, and stand at the same place among the equal ones of their crawl. Events that are not JSON or lack a symbol or date are kept with
     the reason in `rejected` (by default beside the table); their number is returned.
     """
     return _land(stock_bars(events), path, "symbol", schemas.LANDED_KEY, ["event_time", "source_offset"], partition_cols, rejected)
@@ -54,6 +60,17 @@ def land_market(
     return _land(index_bars(events), path, "index_code", INDEX_KEY, ["ingest_time", "source_offset"], partition_cols, rejected)
 
 
+#: Bars below a day: one series may have thousands a day, so it is cut into slices.
+INTRADAY = Series(order=("bar_at",), dated=False)
+
+
+def intraday_view(bars: DataFrame) -> DataFrame:
+    """Flat bars of less than a day with their time `bar_at` and the row key; bars whose event did not tell their
+    time cannot be put in order and stay in the landed table."""
+    at = bars.withColumn("bar_at", text_time("bar_time")).where("bar_at is not null")
+    return normalize_date(flatten_bars(at, "bar_at")).withColumn("es_id", row_key(*INTRADAY.keys, F.col("bar_at").cast("string")))
+
+
 def daily_view(bars: DataFrame) -> DataFrame:
     """Flat bars with a DATE and the daily row key."""
     flat = normalize_date(flatten_bars(bars))
@@ -74,7 +91,8 @@ def analyst(
     and their totals; late rows are left to "full". "new_only" lets every run start its
     averages afresh.
     """
-    bars = normalize_date(flatten_bars(bars))
+    if series.dated:
+        bars = normalize_date(flatten_bars(bars))
     if stored is None:
         return indicators(bars, series, so_far=True)
     if history == "new_only":
@@ -88,40 +106,108 @@ def analyst(
     raise ValueError(f"unknown history {history!r}")
 
 
-def run_daily(bars: DataFrame, path: str) -> None:
-    """Keep the daily view at `path`: whole bars replaced by key, in the folders that `bars` touches."""
-    upsert(with_month(daily_view(bars)), path, schemas.BAR_KEY)
+def run_daily(bars: DataFrame, path: str, series: Series = BARS) -> None:
+    """Keep the daily view at `path`: whole bars replaced by key, in the folders that `bars` touches. With
+    `INTRADAY` it keeps the bars below a day, which their time tells apart."""
+    view = daily_view(bars) if series.dated else intraday_view(bars)
+    upsert(with_month(view), path, [*series.keys, series.time])
+
+
+def _view_of(bars: DataFrame, series: Series) -> DataFrame:
+    return normalize_date(flatten_bars(bars)) if series.dated else intraday_view(bars).drop("es_id")
+
+
+def _months_to_read(bars: DataFrame, state: DataFrame, series: Series) -> DataFrame:
+    """`bars` in the months that have rows newer than their series' newest one in `state`, or rows of
+    series that it lacks. Keys and times alone are read to find them."""
+    keys = list(series.keys)
+    known = latest_date(state, series.keys, series.time)
+    times = series_times(bars, series).groupBy(*keys, "month").agg(F.max(series.time).alias("_newest"))
+    joined = times.join(known, keys, "left")
+    open_ = joined.where(F.col("latest_date").isNull() | (F.col("_newest") > F.col("latest_date")))
+    return bars.filter(any_of(partition_values(open_, ["month"]), ["month"]))
+
+
+def series_times(bars: DataFrame, series: Series) -> DataFrame:
+    """Keys, time and month of bars."""
+    if series.dated:
+        return normalize_date(bars.select(*series.keys, series.time, "month"), series.time)
+    return bars.select(*series.keys, text_time("bar_time").alias(series.time), "month").where(F.col(series.time).isNotNull())
 
 
 def run_analyst(bars: DataFrame, path: str, series: Series = BARS) -> None:
     """Keep the indicator view at `path` up to date with `bars`.
 
     Beside the view lies a small table of each series' newest rows and totals (`path`.state). A run reads
-    that table and the months of `bars` from the oldest of its newest dates on, computes the rows that are
-    newer than their series' newest, and upserts them; rows that are older are late and left to a full run.
-    Of the months before, only the keys are read, and all rows of series that the table lacks. A run that is
-    repeated after a failure starts from the same state and writes the same rows.
+    that table, the keys and times of all bars, and the months that have rows newer than their series'
+    newest or rows of series that the table lacks; a series that is traded no more costs nothing. It computes
+    and upserts those rows. Rows that are older are late and left to `run_corrections`. A run that is repeated after a
+    failure starts from the same state and writes the same rows.
     """
     spark, state_path = bars.sparkSession, f"{path.rstrip('/')}.state"
     state = read_table(spark, state_path)
     if state is not None and "month" in bars.columns:
-        ends = latest_date(state, series.keys, series.time)
-        first = ends.agg(F.date_format(F.min("latest_date"), "yyyy-MM")).first()[0]
-        if first is not None:
-            past = flatten_bars(bars.filter(F.col("month") < F.lit(first)))
-            bars, known = flatten_bars(bars.filter(F.col("month") >= F.lit(first))), ends.select(*series.keys)
-            if not past.select(*series.keys).distinct().join(known, list(series.keys), "left_anti").isEmpty():
-                bars = bars.unionByName(past.join(known, list(series.keys), "left_anti"))
+        bars = _months_to_read(bars, state, series)
     with scratch_removed(spark):
-        fresh = analyst(bars, state, "full" if state is None else "continue", series=series)
-        computed = scratch(spark, "computed")
-        fresh.write.parquet(computed)
-        fresh = spark.read.schema(fresh.schema).parquet(computed)
+        fresh = analyst(_view_of(bars, series), state, "full" if state is None else "continue", series=series)
+        fresh = _computed(fresh, "computed")
         upsert(with_month(fresh), path, [*series.keys, series.time])
-        both = fresh if state is None else state.select(*fresh.columns).unionByName(fresh)
-        kept, held = newest(both, VIEW_PAST, series.keys, series.order).drop("nth"), scratch(spark, "state")
-        kept.write.parquet(held)
-        spark.read.schema(kept.schema).parquet(held).write.mode("overwrite").parquet(state_path)
+        _keep_newest(fresh if state is None else state.select(*fresh.columns).unionByName(fresh), state_path, series)
+
+
+def _computed(df: DataFrame, name: str) -> DataFrame:
+    """`df`, written to scratch and read back."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _keep_newest(rows: DataFrame, state_path: str, series: Series) -> None:
+    """Replace the state by the newest of `rows`, which may come from that state."""
+    kept = _computed(newest(rows, VIEW_PAST, series.keys, series.order).drop("nth"), "state")
+    kept.write.mode("overwrite").parquet(state_path)
+
+
+def run_corrections(changed: DataFrame, bars: DataFrame, path: str, series: Series = BARS) -> None:
+    """Bring corrected and late bars into the indicator view at `path`.
+
+    `changed` names them by series and time, and `bars`, the table by months, has them already. Of each
+    series in `changed` the rows from its first changed bar on are computed anew, starting from
+    the rows and totals that the view has before it; other series, and rows before, stay. Months before the
+    first change are read only as far as the view's 29 rows of past reach, and only for those series. The
+    state of `run_analyst` follows, so that runs after it go on from the corrected totals.
+    """
+    spark, keys, time = bars.sparkSession, list(series.keys), series.time
+    state_path = f"{path.rstrip('/')}.state"
+    view, state = read_table(spark, path), read_table(spark, state_path)
+    if view is None or state is None:
+        raise ValueError(f"there is no view at {path} to correct")
+    with scratch_removed(spark):
+        cuts = _computed(changed.groupBy(*keys).agg(F.min(time).alias("_cut")), "cuts")
+        first = cuts.agg(F.date_format(F.min("_cut"), "yyyy-MM")).first()[0]
+        if first is None:
+            return
+        later = _view_of(bars.filter(F.col("month") >= first), series).join(cuts, keys).where(F.col(time) >= F.col("_cut"))
+        past = view.filter(F.col("month") <= cuts.agg(F.date_format(F.max("_cut"), "yyyy-MM")).first()[0])
+        past = past.join(cuts, keys).where(F.col(time) < F.col("_cut"))
+        # Rows that a series has in the months after one, down from its first change.
+        per_month = past.groupBy(*keys, "month").agg(F.count(F.lit(1)).alias("_n"))
+        after = F.sum("_n").over(Window.partitionBy(*keys).orderBy(F.desc("month")).rowsBetween(Window.unboundedPreceding, -1))
+        reached = per_month.withColumn("_after", F.coalesce(after, F.lit(0))).where(F.col("_after") < VIEW_PAST)
+        needed = past.filter(any_of(partition_values(reached, ["month"]), ["month"]))
+        seeds = _computed(newest(needed.drop("_cut"), VIEW_PAST, series.keys, series.order), "seeds")
+        fresh = _computed(indicators(later.drop("_cut"), series, seeds, so_far=True), "computed")
+        upsert(with_month(fresh), path, [*keys, time])
+        others = state.join(cuts, keys, "left_anti").select(*fresh.columns)
+        _keep_newest(others.unionByName(seeds.select(*fresh.columns)).unionByName(fresh), state_path, series)
+
+
+def training_gate(spark: SparkSession, path: str, min_rows: int, holidays: list[str] = ()) -> bool:
+    """Whether models may be trained on the bar table at `path`: the run that wrote it has ended, no day
+    falls short and no market day is absent."""
+    if not run_ended(spark, path):
+        return False
+    return is_complete(spark.read.parquet(path), min_rows, holidays=holidays)
 
 
 def compact(spark: SparkSession, path: str, partition_cols: list[str], where: str | None = None) -> None:
@@ -165,10 +251,13 @@ def candlestick(df: DataFrame, symbol: str | None = None, months: int = 12, end:
         return chosen
     ends = latest_date(chosen, SERIES_KEY)
     if "month" in df.columns:
-        # Months are found first, so that only folders that some chart needs are read.
-        first = ends.agg(F.min("latest_date")).first()[0]
-        if first is not None:
-            chosen = chosen.filter(F.col("month") >= F.date_format(F.add_months(F.lit(first), -months), "yyyy-MM"))
+        # Months are found first, so that only folders that some chart needs are read: those of a symbol
+        # suspended long ago and those of today, not the years between.
+        month = F.trunc("latest_date", "month")
+        needed = ends.where("latest_date is not null").select(
+            F.explode(F.sequence(F.add_months(month, -months), month, F.expr("interval 1 month"))).alias("month"))
+        named = needed.select(F.date_format("month", "yyyy-MM").alias("month"))
+        chosen = chosen.filter(any_of(partition_values(named, ["month"]), ["month"]))
     recent = chosen.join(ends, list(SERIES_KEY))
     return recent.filter(day > F.add_months("latest_date", -months)).select(*df.columns)
 

@@ -406,3 +406,64 @@ ORACLES["ml_linear"] = w(f""", {least_squares()},
 scores as (select sqrt(avg(y * y)) as rmse, 1 - avg(y * y) / var_pop(label) as r2 from step5 where not training)
 select 'linear' as model, 'rmse' as metric, {r('rmse', 2)} as value from scores
 union all select 'linear', 'r2', {r('r2', 2)} from scores""", LABELS)
+
+
+# Bars without those of a week and of a day, and the days on which the market should have traded.
+CALENDAR = BARS + """,
+held as (
+  select * from bars where trade_date not between date '1996-03-04' and date '1996-03-10' and trade_date <> date '1997-07-01'),
+every as (
+  select cast(unnest(generate_series(min(trade_date), max(trade_date), interval 1 day)) as date) as trade_date from held),
+flagged as (
+  select trade_date, trade_date in (select trade_date from held) as traded from every),
+calendar as materialized (
+  select trade_date, row_number() over (order by trade_date) as place
+  from (select *, avg(case when traded then 1.0 else 0.0 end) over (partition by isodow(trade_date)) as share from flagged)
+  where traded or share >= 0.5),
+steps as materialized (
+  select symbol, place, lead(place) over (partition by symbol order by place) as after from held join calendar using (trade_date))"""
+ORACLES |= {
+    "completeness_calendar": w(""" select trade_date, count(close) as n, count(close) >= 5 as ok
+from calendar left join held using (trade_date) group by 1""", CALENDAR),
+    "missing_days": w(""" select symbol, c.trade_date
+from (select symbol, unnest(range(place + 1, after)) as place from steps where after > place + 1) join calendar c using (place)""", CALENDAR),
+    "outage_islands": w(""" select symbol, a.trade_date as first_day, b.trade_date as last_day, after - steps.place - 1 as days
+from steps join calendar a on a.place = steps.place + 1 join calendar b on b.place = after - 1 where after - steps.place - 1 >= 5""", CALENDAR),
+    "land_intraday_untimed": w(""" select symbol, cast(ts as date) as trade_date, price, volume,
+  '2024-02-02T08:00:00Z' as event_time from ticks""", TICKS),
+    "daily_view_intraday": w(""" select symbol, ts, price, volume,
+  symbol || '_1m_' || case when ts = date_trunc('second', ts) then strftime(ts, '%Y-%m-%d %H:%M:%S')
+    else rtrim(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0') end as es_id from ticks""", TICKS),
+    "analyst_intraday": w(f""",
+numbered as (
+  select *, row_number() over x as n, lag(price) over x as prev from ticks window x as (partition by symbol order by ts)),
+changes as (select *, case when n = 1 then 0 else price - prev end as change,
+  cast(price - prev as double) / nullif(prev, 0) * 100 as ret from numbered)
+select symbol, ts, symbol || '_1m_' || case when ts = date_trunc('second', ts) then strftime(ts, '%Y-%m-%d %H:%M:%S')
+    else rtrim(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0') end as es_id,
+  {r('sum(cast(price as double) * volume) over a / greatest(sum(volume) over a, 1)')} as vwap,
+  {r('case when n >= 30 then avg(price) over (partition by symbol order by ts rows between 29 preceding and current row) end')} as ma30,
+  {r('case when n = 1 then 0.0 else ret end')} as daily_return,
+  {r("""case when n >= 14 then 100 - 100 / (1 + (sum(greatest(change, 0)) over b / 14.0)
+    / greatest(sum(greatest(-change, 0)) over b / 14.0, 1e-8)) end""")} as rsi14
+from changes
+window a as (partition by symbol order by ts rows unbounded preceding),
+       b as (partition by symbol order by ts rows between 13 preceding and current row)""", TICKS),
+}
+ORACLES["analyst_corrected"] = ORACLES["indicators_all"]
+
+
+def rollup_sql(width: str, name: str) -> str:
+    candle = f"""select symbol, time_bucket(interval {width}, ts) as bucket, arg_min(price, (ts, event_id)) as open,
+  max(price) as high, min(price) as low, arg_max(price, (ts, event_id)) as close, cast(sum(volume) as bigint) as volume
+from ticks group by all"""
+    return f"""
+select symbol, bucket, open, high, low, close, volume, true as traded, '{name}' as width from ({candle})
+union all
+select symbol, unnest(generate_series(bucket + interval {width}, after - interval {width}, interval {width})), close, close, close,
+  close, 0, false, '{name}'
+from (select *, lead(bucket) over (partition by symbol order by bucket) as after from ({candle})) where after > bucket + interval {width}"""
+
+
+ORACLES["candles_rollup"] = w(" union all ".join(
+    rollup_sql(width, name) for width, name in (("1 minute", "1 minute"), ("5 minute", "5 minutes"), ("1 hour", "1 hour"), ("1 day", "1 day"))), TICKS)

@@ -11,9 +11,11 @@ from candles import schemas
 from candles.functions import columns as C
 from candles.functions import events as E
 from candles.operators import bars as B
+from candles.operators import calendar as CAL
 from candles.operators import incremental as INC
 from candles.operators import indicators as I
 from candles.operators import quality as Q
+from candles.operators import rollup as R
 from candles.operators.series import Series
 from candles.plans import jobs, predict
 from candles.session import scratch
@@ -281,6 +283,14 @@ def candles_1h(spark, folder):
     return B.candles(ticks(spark, folder), "1 hour")
 
 
+@query
+def candles_rollup(spark, folder):
+    """Candles of four widths from one reading of the ticks, empty buckets filled."""
+    made = [R.fill_empty(R.finished(partial), width).withColumn("width", F.lit(width))
+            for width, partial in R.rollups(ticks(spark, folder)).items()]
+    return B.union_all(made)
+
+
 @query
 def candlestick_1y(spark, folder):
     """From a table split by month, of which the last year's folders are read."""
@@ -459,6 +469,29 @@ def completeness_mixed(spark, folder):
     return Q.completeness(bars_mixed(spark, folder), 5)
 
 
+def _with_outages(df: DataFrame) -> DataFrame:
+    """Without the bars of a week and of a day."""
+    day = F.col("trade_date")
+    return df.filter(~day.between(F.lit("1996-03-04").cast("date"), F.lit("1996-03-10").cast("date")) & (day != F.lit("1997-07-01").cast("date")))
+
+
+@query
+def completeness_calendar(spark, folder):
+    """Every market day, also those on which no symbol has a bar."""
+    df = _with_outages(bars(spark, folder))
+    return Q.completeness(df, 5, calendar=CAL.market_days(df)).drop("interval")
+
+
+@query
+def missing_days(spark, folder):
+    return CAL.missing_days(_with_outages(bars(spark, folder))).select(*DAY)
+
+
+@query
+def outage_islands(spark, folder):
+    return CAL.outage_islands(_with_outages(bars(spark, folder)), least=5).drop("interval")
+
+
 @query
 def late_rows(spark, folder):
     arrival = F.expr("ts + make_dt_interval(0, 0, cast(2 * volume as int), 0)")
@@ -511,6 +544,22 @@ def analyst_view_twice(spark, folder):
     return view.select(*I.INDICATOR_COLUMNS[:8], *[rounded(c, 4).alias(c) for c in I.INDICATOR_COLUMNS[8:]])
 
 
+@query
+def analyst_corrected(spark, folder):
+    """A tenth of the bars is corrected, and some come late, after the view was built; the view follows."""
+    root = scratch(spark, "corrected")
+    df = C.with_month(bars(spark, folder))
+    early = df.filter("volume % 10 <> 3").withColumn("close", F.when(F.col("volume") % 10 == 0, F.col("close") + 1000).otherwise(F.col("close")))
+    sinks.write_bars(early, f"{root}/bars")
+    jobs.run_analyst(readers.read_bars(spark, f"{root}/bars", df.schema), f"{root}/view")
+    sinks.upsert(df.filter("volume % 10 in (0, 3)"), f"{root}/bars", schemas.BAR_KEY)
+    table_now = readers.read_bars(spark, f"{root}/bars", df.schema)
+    changed = INC.changed_rows(table_now, spark.read.parquet(f"{root}/view"), schemas.BAR_KEY, schemas.PRICE_COLUMNS)
+    jobs.run_corrections(changed, table_now, f"{root}/view")
+    view = spark.read.parquet(f"{root}/view")
+    return view.select(*I.INDICATOR_COLUMNS[:8], *[rounded(c, 4).alias(c) for c in I.INDICATOR_COLUMNS[8:]])
+
+
 @query
 def daily_view_twice(spark, folder):
     path = scratch(spark, "daily")
@@ -561,20 +610,62 @@ def land_market_revised(spark, folder):
     return landed.select("index_code", "trade_date", *schemas.PRICE_COLUMNS, "ingest_time")
 
 
-@query
-def land_intraday(spark, folder):
-    """Ticks as bars of a minute: a day's bars are all kept."""
-    path = scratch(spark, "intraday")
+def _minute_events(spark: SparkSession, folder: str, crawl: str, told: bool = True) -> DataFrame:
+    """Ticks as bars of a minute, all stamped with the time of their crawl, as the feed does."""
     price = [F.col("price").cast("double").alias(c) for c in ("open", "high", "low", "close")]
     events = ticks(spark, folder).select(
         "symbol", F.lit("1m").alias("interval"), F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
-        F.col("ts").cast("string").alias("event_time"), F.lit("test").alias("source"), F.struct(*price, "volume").alias("data"))
-    for _ in range(2):
-        jobs.land_ohlcv(E.to_kafka_records(events, "bars", "symbol"), path)
-    landed = readers.read_bars(spark, path)
+        F.lit(crawl).alias("event_time"), (F.col("ts").cast("string") if told else F.lit(None).cast("string")).alias("bar_time"),
+        F.lit("test").alias("source"), F.struct(*price, "volume").alias("data"))
+    return E.to_kafka_records(events, "bars", "symbol")
+
+
+def _landed_minutes(spark: SparkSession, folder: str, name: str, told: bool = True) -> DataFrame:
+    """Two crawls of the same bars."""
+    path = scratch(spark, name)
+    for crawl in ("2024-02-01T08:00:00Z", "2024-02-02T08:00:00Z"):
+        jobs.land_ohlcv(_minute_events(spark, folder, crawl, told), path)
+    return readers.read_bars(spark, path)
+
+
+@query
+def land_intraday(spark, folder):
+    """A day's bars are all kept, and a second crawl of them changes nothing."""
+    landed = _landed_minutes(spark, folder, "intraday")
     return landed.select("symbol", F.col("bar_time").cast("timestamp_ntz").alias("ts"), F.col("close").cast("bigint").alias("price"), "volume")
 
 
+@query
+def land_intraday_untimed(spark, folder):
+    """The same with events that do not tell a bar's time."""
+    landed = _landed_minutes(spark, folder, "untimed", told=False)
+    return landed.select("symbol", "trade_date", F.col("close").cast("bigint").alias("price"), "volume", "event_time")
+
+
+@query
+def daily_view_intraday(spark, folder):
+    """Bars below a day in the keyed view, each with its time in the key."""
+    path = scratch(spark, "minutes")
+    landed = _landed_minutes(spark, folder, "intraday")
+    for part in (landed.filter("volume % 2 = 0"), landed):
+        jobs.run_daily(part, path, jobs.INTRADAY)
+    view = spark.read.parquet(path)
+    return view.select("symbol", F.col("bar_at").cast("timestamp_ntz").alias("ts"), F.col("close").cast("bigint").alias("price"), "volume", "es_id")
+
+
+@query
+def analyst_intraday(spark, folder):
+    """Indicators of bars below a day, continued when the second half of the month arrives."""
+    root = scratch(spark, "minutes")
+    landed = _landed_minutes(spark, folder, "intraday")
+    for part in (landed.filter("trade_date < date '2024-01-16'"), landed):
+        jobs.run_analyst(part, f"{root}/view", jobs.INTRADAY)
+    view = spark.read.parquet(f"{root}/view")
+    return view.select(
+        "symbol", F.col("bar_at").cast("timestamp_ntz").alias("ts"), "es_id",
+        *[rounded(c, 4).alias(c) for c in ("vwap", "ma30", "daily_return", "rsi14")])
+
+
 @query
 def land_rejected(spark, folder):
     """What landing refuses, with its reason; the rest is in the table."""

@@ -11,8 +11,9 @@ TEXT, REAL, LONG = T.StringType(), T.DoubleType(), T.LongType()
 
 PRICES = _struct(open=REAL, high=REAL, low=REAL, close=REAL, volume=LONG)
 
+# `bar_time` is an addition to the feed's event: of bars below a day it has only the day.
 STOCK_EVENT = _struct(
-    symbol=TEXT, interval=TEXT, event_date=TEXT, event_time=TEXT, source=TEXT, data=PRICES
+    symbol=TEXT, interval=TEXT, event_date=TEXT, event_time=TEXT, bar_time=TEXT, source=TEXT, data=PRICES
 )
 
 INDEX_EVENT = _struct(
@@ -30,7 +31,7 @@ TICK_EVENT = _struct(ts=TEXT, symbol=TEXT, event_id=LONG, price=LONG, volume=LON
 BARS = _struct(
     symbol=TEXT, interval=TEXT, trade_date=T.DateType(), open=REAL, high=REAL, low=REAL,
     close=REAL, volume=LONG, event_date=TEXT, event_time=TEXT, source=TEXT, bar_time=TEXT,
-    source_offset=LONG, month=TEXT,
+    source_offset=LONG, bar_mark=TEXT, month=TEXT,
 )
 
 INDEX_BARS = _struct(
@@ -42,5 +43,5 @@ INDEX_BARS = _struct(
 PRICE_COLUMNS = ["open", "high", "low", "close", "volume"]
 BAR_COLUMNS = ["symbol", "interval", "trade_date", *PRICE_COLUMNS]
 BAR_KEY = ["symbol", "interval", "trade_date"]
-# Bars below a day also have a time; that of others is NULL.
-LANDED_KEY = [*BAR_KEY, "bar_time"]
+# Bars below a day also have a time, or a mark if that is not known; those of others are NULL.
+LANDED_KEY = [*BAR_KEY, "bar_time", "bar_mark"]

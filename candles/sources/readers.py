@@ -75,6 +75,12 @@ def folder_summary(spark: SparkSession, path: str, ext: str = "") -> DataFrame:
     )
 
 
+def run_ended(spark: SparkSession, path: str) -> bool:
+    """Whether the last write to a table was completed: Spark leaves a marker beside its files."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def partition_values(df: DataFrame, columns: list[str]) -> list:
     """Distinct partition values: names of folders, as many as the table's layout has at most."""
     return df.select(*columns).distinct().collect()
