@@ -62,3 +62,24 @@ def serve(batch: DataFrame, speed: DataFrame, key: list[str] | None = None) -> D
     return batch.withColumn("origin", F.lit("batch")).unionByName(
         uncovered.withColumn("origin", F.lit("speed")).select(*batch.columns, "origin")
     )
+
+
+def covered_until(batch: DataFrame, key: tuple[str, ...] = SERIES_KEY, day: str = "trade_date") -> DataFrame:
+    """(key, covered): how far the batch view reaches in each series. One row per series; a batch run
+    stores it beside its view."""
+    return batch.groupBy(*key).agg(F.max(day).alias("covered"))
+
+
+def uncovered(speed: DataFrame, covered: DataFrame, key: tuple[str, ...] = SERIES_KEY, day: str = "trade_date") -> DataFrame:
+    """Speed rows that lie beyond what the batch view covers, and those of series it does not have."""
+    joined = speed.join(covered, list(key), "left")
+    return joined.filter(F.col("covered").isNull() | (F.col(day) > F.col("covered"))).select(*speed.columns)
+
+
+def serve_covered(
+    batch: DataFrame, speed: DataFrame, covered: DataFrame, key: tuple[str, ...] = SERIES_KEY, day: str = "trade_date"
+) -> DataFrame:
+    """The batch view plus the speed rows beyond it, like `serve`. The batch view is neither shuffled nor
+    read for it: up to its newest row a series belongs to the batch layer, which brings late bars too."""
+    fresh = uncovered(speed, covered, key, day).withColumn("origin", F.lit("speed"))
+    return batch.withColumn("origin", F.lit("batch")).unionByName(fresh.select(*batch.columns, "origin"))

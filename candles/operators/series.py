@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from candles.session import scratch
 
+#: Rows of a slice, about: ranges are cut by a sample.
+SLICE_ROWS = 2_000_000
 Accessor = Callable[[str], Column]
 RowValue = Callable[[Accessor, Accessor], Column]
 
@@ -34,7 +36,7 @@ class Series:
 
     `order` must be a total order within a series; its first column is the time. `dated` series have
     one row per date, others are cut into slices: `pieces` of them, or as many as adaptive execution
-    finds right for the size of the data.
+    finds right for the size of the data, and more where they would have more than `SLICE_ROWS` rows.
     """
 
     keys: tuple[str, ...] = ("symbol", "interval")
@@ -56,7 +58,10 @@ class Series:
         if self.dated or "_slice" in df.columns:
             return df
         by = [*self.keys, *self.order]
-        ranged = df.repartitionByRange(self.pieces, *by) if self.pieces else df.repartitionByRange(*by)
+        # As many slices as tasks, or more, so that none has much above SLICE_ROWS rows.
+        needed = self.pieces or -(-df.count() // SLICE_ROWS)
+        usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranged = df.repartitionByRange(needed, *by) if self.pieces or needed > usual else df.repartitionByRange(*by)
         return _written(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 
     def frame(self, backwards: bool = False) -> WindowSpec:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -268,6 +270,27 @@ def search(df: DataFrame, predicate=None, n: int = 10) -> DataFrame:
     return found.orderBy(F.desc("trade_date"), F.desc("symbol"), F.desc("interval")).limit(n)
 
 
+def folder_months(df: DataFrame) -> list[str]:
+    """Months of a table's folders, newest first; names are listed and no file is opened."""
+    found = {m for f in df.inputFiles() for m in re.findall(r"/month=([0-9]{4}-[0-9]{2})/", f)}
+    return sorted(found, reverse=True)
+
+
+def search_early(df: DataFrame, predicate=None, n: int = 10) -> DataFrame:
+    """What `search` returns, from a table by months of which only the newest are read.
+
+    Months are read from the newest on, twice as many each time, until `n` rows match: no row of an unread
+    month can be newer than the nth. If fewer match, all months have been read.
+    """
+    months, taken = folder_months(df), 1
+    while True:
+        some = df.filter(F.col("month").isin(months[:taken]))
+        found = search(some, predicate, n)
+        if taken >= len(months) or found.count() == n:
+            return found
+        taken *= 2
+
+
 def top_movers(df: DataFrame, group: str, n: int = 10, as_of: str | None = None, interval: str = "1D") -> DataFrame:
     """Ranking of one day, the newest up to `as_of`: top_gain, top_lose or top_volume.
 

@@ -382,7 +382,7 @@ ORACLES["analyst_view_twice"] = ORACLES["indicators_all"]
 ORACLES["daily_view_twice"] = w(""" select symbol, trade_date,
   case when trade_date >= date '2000-01-01' then close + 1 else close end as close,
   symbol || '_' || "interval" || '_' || cast(trade_date as varchar) as es_id from bars""", BARS)
-ORACLES["ml_forest"] = w(" select symbol, count(*) as n from test group by 1", LABELS)
+ORACLES["ml_forest"] = w(" select 'forest' as model, count(*) as n, true as beats_mean from test", LABELS)
 
 
 def least_squares() -> str:
@@ -467,3 +467,17 @@ from (select *, lead(bucket) over (partition by symbol order by bucket) as after
 
 ORACLES["candles_rollup"] = w(" union all ".join(
     rollup_sql(width, name) for width, name in (("1 minute", "1 minute"), ("5 minute", "5 minutes"), ("1 hour", "1 hour"), ("1 day", "1 day"))), TICKS)
+
+ORACLES |= {
+    "search_early": ORACLES["search_top10"],
+    "serving_covered": ORACLES["serving_merge"],
+    "ols_walk_forward": w(f""",
+pairs as (
+  select symbol, trade_date, cast(close as double) as y, cast(lag(close) over (partition by symbol order by trade_date) as double) as x
+  from bars),
+fitted as (
+  select symbol, trade_date, count(x) over k as n, regr_slope(y, x) over k as b, regr_intercept(y, x) over k as a from pairs
+  window k as (partition by symbol order by trade_date rows unbounded preceding))
+select symbol, trade_date, {r('case when n >= 2 and isfinite(b) then b end')} as slope,
+  {r('case when n >= 2 and isfinite(b) then a end', 1)} as intercept from fitted""", BARS),
+}

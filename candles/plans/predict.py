@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from candles.operators.bars import SERIES
 from candles.operators.indicators import next_close
 from candles.operators.quality import is_complete
-from candles.operators.series import BARS, Series
+from candles.operators.series import BARS, RowValue, Series, with_past
 from candles.schemas import PRICE_COLUMNS
 from candles.sources.sinks import metrics_frame
 
@@ -92,11 +92,40 @@ def linear_scores(bars: DataFrame, cut: str) -> DataFrame:
     return metrics_frame(bars.sparkSession, [("linear", name, value) for name, value in scores.items()])
 
 
-def forest_coverage(bars: DataFrame, cut: str, trees: int = 20) -> DataFrame:
-    """Rows the forest scored per symbol."""
+def forest_against_mean(bars: DataFrame, cut: str, trees: int = 20) -> DataFrame:
+    """(model, n, beats_mean): test rows the forest scored, and whether its error is below that of
+    always saying the training rows' mean label."""
     train, test = time_split(labelled(bars), cut)
-    scored = fit_forest(train.select(*PRICE_COLUMNS, LABEL), trees).transform(test).select("symbol", "prediction")
-    return scored.filter("prediction is not null").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    train = train.select(*PRICE_COLUMNS, LABEL)
+    scored = fit_forest(train, trees).transform(test.select(*PRICE_COLUMNS, LABEL))
+    mean = train.agg(F.avg(LABEL)).first()[0]
+    miss, plain = F.col(LABEL) - F.col("prediction"), F.col(LABEL) - F.lit(mean)
+    return scored.agg(
+        F.lit("forest").alias("model"), F.count("prediction").alias("n"),
+        (F.avg(miss * miss) < F.avg(plain * plain)).alias("beats_mean"))
+
+
+def walk_forward(bars: DataFrame, series: Series = BARS, least: int = 2) -> DataFrame:
+    """Bars with `slope`, `intercept` and `prediction` of the next close, each from the rows before it.
+
+    At every bar, next close on close is fitted by least squares to all pairs of the series that are
+    known by then, the last one ending in this bar's close. All these fits come from running sums of
+    products, so the series is passed over once, however many dates models are cut at. NULL where fewer
+    than `least` pairs are known or all closes so far are the same; pairs with a missing close do not count.
+    """
+    def pair(value) -> RowValue:
+        def row_value(cur, prev):
+            x, y = prev("close").cast("double"), cur("close").cast("double")
+            return F.when(x.isNotNull() & y.isNotNull(), value(x, y))
+        return row_value
+
+    sums = {"pairs": lambda x, y: F.lit(1.0), "x": lambda x, y: x, "y": lambda x, y: y, "xx": lambda x, y: x * x, "xy": lambda x, y: x * y}
+    past = with_past(bars, series, 1, {name: pair(value) for name, value in sums.items()})
+    n, x, y, xx, xy = (F.col(f"_total_{name}") for name in sums)
+    slope = F.when(n >= least, F.try_divide(n * xy - x * y, F.nullif(n * xx - x * x, F.lit(0.0))))
+    fitted = past.filter(~F.col("_copied")).withColumn("slope", slope).withColumn("intercept", (y - F.col("slope") * x) / n)
+    return fitted.withColumn("prediction", F.col("intercept") + F.col("slope") * F.col("close")).select(
+        *bars.columns, "slope", "intercept", "prediction")
 
 
 def ols_close(train: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candles import schemas
@@ -315,6 +315,15 @@ def search_top10(spark, folder):
     return jobs.search(bars(spark, folder), n=10)
 
 
+@query
+def search_early(spark, folder):
+    """The same from a table by months, of which the newest are read."""
+    path = scratch(spark, "searched")
+    df = C.with_month(bars(spark, folder))
+    sinks.write_bars(df, path)
+    return jobs.search_early(readers.read_bars(spark, path, df.schema), n=10).drop("month")
+
+
 def _movers(view, group: str) -> Query:
     return lambda spark, folder: jobs.top_movers(view(spark, folder), group).withColumn("value", rounded("value", 4))
 
@@ -696,6 +705,16 @@ def serving_merge(spark, folder):
     return INC.serve(before(df), raised(since(df, "1999-12-01"))).select(*DAY, "close", "origin")
 
 
+@query
+def serving_covered(spark, folder):
+    """The same by how far the batch view reaches, which is stored beside it."""
+    df = closes(spark, folder)
+    path = scratch(spark, "covered")
+    INC.covered_until(before(df)).write.parquet(path)
+    served = INC.serve_covered(before(df), raised(since(df, "1999-12-01")), spark.read.parquet(path))
+    return served.select(*DAY, "close", "origin")
+
+
 @query
 def csv_roundtrip(spark, folder):
     path = scratch(spark, "listing")
@@ -775,7 +794,16 @@ def ml_linear(spark, folder):
 
 @query
 def ml_forest(spark, folder):
-    return predict.forest_coverage(bars(spark, folder), CUT)
+    """On bars whose close follows the volume traded so far, which can be learned."""
+    so_far = Window.partitionBy("symbol").orderBy("trade_date")
+    trend = bars(spark, folder).withColumn("close", F.sum("volume").over(so_far))
+    return predict.forest_against_mean(trend, CUT)
+
+
+@query
+def ols_walk_forward(spark, folder):
+    fitted = predict.walk_forward(closes(spark, folder))
+    return fitted.select(*DAY, rounded("slope", 4).alias("slope"), rounded("intercept", 1).alias("intercept"))
 
 
 @query

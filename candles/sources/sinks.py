@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candles.operators.incremental import replace_latest
-from candles.operators.quality import dedup_latest
+from candles.operators.incremental import replace_latest, uncovered
+from candles.operators.quality import counted, dedup_latest
 from candles.session import discard, scratch
 from candles.sources.readers import any_of, partition_values
 
@@ -63,7 +63,8 @@ def upsert(
     in the rows stored before. Only the folders that `df` touches are read and rewritten; their names
     are few, so they always make a predicate. The incoming rows and the merged folders are written to
     scratch first and removed when the table is complete: a lost executor does not recompute the feed,
-    and no plan overwrites a folder it reads. Rerunning is harmless.
+    and no plan overwrites a folder it reads. Rerunning is harmless. Rows of a sealed month are refused, and
+    nothing is written.
     """
     spark = df.sparkSession
     known = read_table(spark, path)
@@ -80,7 +81,11 @@ def upsert(
         if known is None:
             write_bars(newest, path, partition_cols)
             return
-        touched = any_of(partition_values(incoming, partition_cols), partition_cols)
+        values = partition_values(incoming, partition_cols)
+        closed = sealed(spark, path) & {v["month"] for v in values} if "month" in partition_cols else None
+        if closed:
+            raise ValueError(f"these months are sealed: {sorted(closed)}")
+        touched = any_of(values, partition_cols)
         stored = read_table(spark, path, df.schema).filter(touched)
         replace_latest(stored.select(*newest.columns), newest, key, list(order)).write.parquet(merged)
         write_bars(spark.read.schema(df.schema).parquet(merged), path, partition_cols, mode="replace")
@@ -102,12 +107,65 @@ def read_batches(spark: SparkSession, path: str, key: list[str], after: int = -1
     return dedup_latest(df.filter(F.col("batch") > after), key, ["batch"]).drop("batch")
 
 
+def batch_numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the micro-batches below `path`, by the names of their folders."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+
+def fold_batches(spark: SparkSession, path: str, table: str, key: list[str], partition_cols: list[str] = BAR_PARTITIONS) -> int:
+    """Move the micro-batches below `path` into a keyed table; returns how many.
+
+    The newest batch stays, since a restarted stream may write it again. The others' folders are removed
+    when the table is complete, so a run that fails is repeated without harm.
+    """
+    numbers = batch_numbers(spark, path)[:-1]
+    if numbers:
+        rows = spark.read.option("basePath", path).parquet(*[f"{path}/batch={n}" for n in numbers])
+        rows = rows.withColumn("batch", F.col("batch").cast("bigint"))
+        upsert(dedup_latest(rows, key, ["batch"]).drop("batch"), table, key, partition_cols=partition_cols)
+        discard(spark, *[f"{path}/batch={n}" for n in numbers])
+    return len(numbers)
+
+
+def evict_batches(spark: SparkSession, path: str, covered: DataFrame, key: tuple[str, ...] = ("symbol", "interval"), day: str = "trade_date") -> int:
+    """Remove the micro-batches, but for the newest, of which the batch view covers every row; returns
+    how many."""
+    numbers = batch_numbers(spark, path)[:-1]
+    if not numbers:
+        return 0
+    rows = spark.read.option("basePath", path).parquet(*[f"{path}/batch={n}" for n in numbers])
+    open_ = {int(r.batch) for r in uncovered(rows, covered, key, day).select("batch").distinct().collect()}
+    gone = [n for n in numbers if n not in open_]
+    discard(spark, *[f"{path}/batch={n}" for n in gone])
+    return len(gone)
+
+
+def seal(spark: SparkSession, path: str, months: list[str]) -> None:
+    """Make months of a table read-only for `upsert`; a sealed month stays sealed."""
+    for month in months:
+        marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_sealed/{month}")
+        marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker, True).close()
+
+
+def sealed(spark: SparkSession, path: str) -> set[str]:
+    """Months that are read-only."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_sealed")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in fs.listStatus(folder)} if fs.exists(folder) else set()
+
+
 def write_csv(df: DataFrame | None, path: str) -> bool:
-    """CSV with a header; False, and nothing written, if there are no rows."""
-    if df is None or df.isEmpty():
+    """CSV with a header; False, and nothing left, if there are no rows. Rows are counted as they are written."""
+    if df is None:
         return False
-    df.write.mode("overwrite").option("header", True).csv(path)
-    return True
+    rows, seen = counted(df, "csv")
+    rows.write.mode("overwrite").option("header", True).csv(path)
+    if seen.get["n"]:
+        return True
+    discard(df.sparkSession, path)
+    return False
 
 
 def write_many(frames: dict[str, DataFrame | None], path: str) -> dict[str, bool]:
