@@ -18,6 +18,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,8 @@ import xxhash
 
 #: Bytes worked on at once; a longer text is taken in several parts.
 SECTION = 4 << 20
-#: Distinct pieces that a worker remembers before it starts afresh.
+#: Distinct pieces of a generation. A worker remembers two of them: what the newer one lacks is taken over from the
+#: older one, which is dropped when the newer is full, so pieces that come often stay.
 REMEMBERED = 1 << 18
 
 _WHITE = np.zeros(256, bool)
@@ -156,6 +158,28 @@ class Encoder:
         self.known: dict[bytes, int] = {}
         self.ids, self.counts, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
         self.begins = np.zeros(1 << 14, np.int64)
+        self.older: tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray] | None = None
+
+    def age(self) -> None:
+        """Begin a generation; the one so far becomes the older one."""
+        older = self.known, self.ids, self.begins, self.counts
+        self.forget()
+        self.older = older
+
+    def learn(self, words: list[bytes], flat: np.ndarray, counts: np.ndarray) -> int:
+        """Remember these pieces, whose ids stand one after another; the number of the first."""
+        at = len(self.known)
+        while self.size + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while at + len(words) > len(self.counts):
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+            self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
+        self.ids[self.size:self.size + len(flat)] = flat
+        self.counts[at:at + len(words)] = counts
+        self.begins[at:at + len(words)] = self.size + np.cumsum(counts) - counts
+        self.size += len(flat)
+        self.known.update(zip(words, range(at, at + len(words))))
+        return at
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
@@ -171,28 +195,24 @@ class Encoder:
         return codes, words, hashes, np.diff(bounds)
 
     def lookup(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of pieces in `ids`; those not known yet are encoded."""
-        if len(self.known) + len(words) > REMEMBERED:
-            self.forget()
-        known = self.known
-        found = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        """Numbers of distinct pieces in `ids`; those not known yet are encoded."""
+        if len(self.known) > REMEMBERED:
+            self.age()
+        found = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(found < 0)
+        if len(missing) and self.older:
+            known, ids, begins, counts = self.older
+            held = np.fromiter((known.get(words[i], -1) for i in missing.tolist()), np.int64, len(missing))
+            kept, held = missing[held >= 0], held[held >= 0]
+            flat, counts = gather(ids, begins[held], counts[held])
+            found[kept] = self.learn([words[i] for i in kept.tolist()], flat, counts) + np.arange(len(kept))
+            missing = np.flatnonzero(found < 0)
         if len(missing):
-            made = self.encode_words([words[i] for i in missing])
-            counts = np.array([len(m) for m in made], np.int64)
-            flat = np.fromiter((i for m in made for i in m), np.uint32, int(counts.sum()))
-            at = len(known)
-            while self.size + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            while at + len(made) > len(self.counts):
-                self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
-                self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
-            self.ids[self.size:self.size + len(flat)] = flat
-            self.counts[at:at + len(made)] = counts
-            self.begins[at:at + len(made)] = self.size + np.cumsum(counts) - counts
-            self.size += len(flat)
-            found[missing] = np.arange(at, at + len(made))
-            known.update((words[i], at + k) for k, i in enumerate(missing.tolist()))
+            fresh = [words[i] for i in missing.tolist()]
+            made = self.encode_words(fresh)
+            counts = np.fromiter(map(len, made), np.int64, len(made))
+            flat = np.fromiter(chain.from_iterable(made), np.uint32, int(counts.sum()))
+            found[missing] = self.learn(fresh, flat, counts) + np.arange(len(fresh))
         return found
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import zlib
 
@@ -95,3 +96,33 @@ def test_empty(spark, tmp_path):
     assert bpe.transcode(docs, PATH).collect() == []
     token_orc.write_tokens(docs, str(tmp_path / "none"), PATH, 2)
     assert token_orc.read_tokens(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_files_hold_run_lengths_row_indexes_and_bloom_filters(spark, tmp_path):
+    """What the footers say, and that a lookup by id reads a small part of the rows."""
+    rows = [(3 * i, f"word {i} and some more words of document {i % 7}") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    token_orc.write_tokens(docs, f"{tmp_path}/t", PATH, 2)
+    orc = spark._jvm.org.apache.orc
+    found = [f for f in os.listdir(f"{tmp_path}/t") if f.endswith(".orc")]
+    kinds, encodings, strides = set(), set(), set()
+    for name in found:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{tmp_path}/t/{name}")
+        reader = orc.OrcFile.createReader(path, orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration()))
+        strides.add(reader.getRowIndexStride())
+        batches = reader.rows()
+        for stripe in reader.getStripes():
+            footer = batches.readStripeFooter(stripe)
+            kinds |= {(s.getColumn(), s.getKind().toString()) for s in footer.getStreamsList()}
+            encodings |= {c.getKind().toString() for c in footer.getColumnsList()}
+        batches.close()
+        reader.close()
+    columns = ["struct", "doc_id", "row", "before", "n", "ids", "id"]
+    assert strides == {token_orc.INDEX_ROWS} and "DIRECT_V2" in encodings
+    assert {c for c, kind in kinds if kind == "ROW_INDEX"} == set(range(len(columns)))
+    assert {columns[c] for c, kind in kinds if kind.startswith("BLOOM_FILTER")} == {"doc_id"}
+    for wanted, there in ((12_000, 1), (12_001, 0)):
+        one = spark.read.orc(f"{tmp_path}/t").where(f"doc_id = {wanted}")
+        assert len(one.collect()) == there
+        scan = one._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        assert scan.metrics().apply("numOutputRows").value() <= (token_orc.INDEX_ROWS if there else 0)
