@@ -175,7 +175,9 @@ def near_duplicates(
     tells whether that is the row's own. Null and zero vectors and those with null or non-finite
     components link with nothing and are kept; vectors of different dimensions do not link. A pair at
     exactly `cosine` is found with a chance of `recall` at least, a closer one with a higher chance;
-    what is found is exact. Repeated rows are vectors of their own. No rows give no rows.
+    what is found is exact. Repeated rows are vectors of their own. No rows give no rows; other columns are
+    not looked at. A crowded cell is compared slice by slice with every slice: memory is bounded, but since links are
+    counted exactly the work grows with the square of a crowd that is not of equal vectors.
     """
     spark = session_of(vectors)
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).alias("v"))

@@ -286,7 +286,9 @@ def detect(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of `docs` with base_spans and spans, arrays of (kind, start, end).
 
     Places are code points, the end is exclusive. A null text is empty and has none. Spans of the
-    patterns keep their places whatever the model says; spans are ordered by start and then kind.
+    patterns keep their places whatever the model says; spans are ordered by start and then kind. Very long
+    texts, lines and numbers are taken whole; repeated rows are rows of their own. Columns of `docs` called base_spans or
+    spans are replaced.
     """
     session_of(docs)
     kind = "array<struct<kind: string, start: int, end: int>>"
@@ -314,7 +316,8 @@ def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with every span of its text replaced by [kind]; of spans that overlap, the earlier one
-    decides and the later one's rest goes with it. A null text stays null."""
+    decides and the later one's rest goes with it. A null text stays null; texts of any length are taken whole,
+    and all columns stay."""
     session_of(docs)
 
     def run(columns: dict) -> Iterable[dict]:

@@ -135,7 +135,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "do
 
 def score(docs: DataFrame, model: Model, empty: float, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of `docs` and `score`: 0 to 1, higher for better; a text without lines (null,
-    empty or blank) scores `empty`. Repeated rows are scored like any."""
+    empty or blank) scores `empty`. Repeated rows are scored like any; a very long text or line is scored
+    whole. A column `score` of `docs` is replaced."""
     session_of(docs)
 
     def run(columns: dict) -> Iterable[dict]:

@@ -1,4 +1,8 @@
-"""The registered queries of this package, one per operator."""
+"""The registered queries of this package, one per operator.
+
+What becomes of nulls, empty and very long texts, ties, repeated rows, empty tables and other columns is said
+where the operator is: every query runs it over its whole table, columns it does not name are not read.
+"""
 
 from __future__ import annotations
 
@@ -20,20 +24,24 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and group of every document; groups are linked by at most two differing bits."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
 def op2_token_orc(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, written as ORC in ascending order of ids and read back."""
     path = scratch(spark, "token-orc")
     token_orc.write_tokens(table(spark, folder, "documents"), path, TOKENIZER, END_ID)
     return token_orc.digests(token_orc.read_tokens(spark, path))
 
 
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document and what they decode to, as digests."""
     return bpe.digests(bpe.transcode(table(spark, folder, "documents"), TOKENIZER, packed_ids=True))
 
 
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """A record of every page, written as WARC archives and read back."""
     path = scratch(spark, "warc")
     warc.write_warc(table(spark, folder, "pages"), path)
     return warc.read_warc(spark, path).select(
@@ -41,15 +49,18 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_collisions(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and group of every vector by cosine."""
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule and the verdict for every page."""
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     return url_filter.judge(table(spark, folder, "pages"), rules)
 
 
 def op7_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of every document, by a model fitted without the held-out labels."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model, empty = quality.fit(docs, labels.where(~quality.held_out()))
     scored = quality.score(docs.select("doc_id", "text"), model, empty)
@@ -58,14 +69,17 @@ def op7_line_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_jump_hash(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document, and its shard if there were one more."""
     return sharding.shard(table(spark, folder, "documents"), SHARDS)
 
 
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with the tests of the benchmark that they contain."""
     return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document, counted and as spans."""
     return pii.digests(pii.detect(table(spark, folder, "documents").select("doc_id", "text")))
 
 

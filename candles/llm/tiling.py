@@ -193,6 +193,8 @@ def contaminated(
     `coverage` is the share of a test's words under tiles, `spans` lists the tiles' (word of the test,
     word of the document, words). A test of fewer than five words is one seed; one without words, or
     a null text on either side, matches nothing. Repeated rows on either side give repeated results.
+    Very long texts are taken whole; other columns are not looked at. The documents are read once for each block of
+    `BLOCK_BYTES` of tests.
     """
     spark = session_of(docs)
     kind, test_kind = (d.select(k).schema[0].dataType.simpleString() for d, k in ((docs, key), (tests, test_key)))

@@ -80,7 +80,8 @@ def write_warc(
     Of pages with equal payloads (null: empty) of at least `smallest` bytes, the one with the
     smallest key is the response and the others revisit it; a page without a key is always a
     response. Of repeated rows with the smallest key all are responses. Keys are longs; equal keys
-    are ordered by digest. No pages give a manifest without files.
+    are ordered by digest. No pages give a manifest without files. A very long payload is one record, held
+    by the task that writes it; other columns are not looked at.
     """
     spark = session_of(pages)
     body = utf8(F.col(payload))

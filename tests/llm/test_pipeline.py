@@ -89,6 +89,37 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
     assert corpus_pipeline.tokenize(spark, docs, FOLDER).count() == len(rows)
 
 
+@pytest.mark.parametrize("name", ["_id", "_score", "score", "SCORE", "spans", "base_spans", "node", "fp", "key", "id", "doc", "k", "good"])
+def test_columns_of_any_name_stay_as_they_are(spark, name):
+    rows = [(1, "A good line of words here, the first one.", "en", "s", 26, "x"), (2, "Call +1 (212) 555-0147 now please, or never again.", "en", "s", 5, "y"),
+            (3, None, "en", "s", None, None)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, `{name}` string")
+    for stage_name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, docs, FOLDER)
+        assert made.columns == docs.columns and made.dtypes == docs.dtypes, stage_name
+        assert {(r.doc_id, r[name]) for r in made.collect()} <= {(1, "x"), (2, "y"), (3, None)}
+    assert corpus_pipeline.tokenize(spark, docs, FOLDER).count() == 3
+
+
+def test_very_long_texts(spark):
+    """Texts of a long line, of many lines, and of one long word, through every stage."""
+    texts = ["A good line of words here, quite long. " * 9000, "A good line of words here.\n" * 20_000, "x" * 400_000, "1." * 200_000]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, FOLDER).count() <= 4
+    assert corpus_pipeline.tokenize(spark, docs, FOLDER).count() == 4
+
+
+def test_only_the_result_stays(spark):
+    import os
+
+    from candles.session import scratch_root
+
+    before = set(os.listdir(scratch_root(spark)))
+    corpus_pipeline.run(spark, FOLDER)
+    assert {f.split("-")[0] for f in set(os.listdir(scratch_root(spark))) - before} == {"bpe"}
+
+
 def test_registered():
     import __spark_entry__ as entry
 
