@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +67,42 @@ def lateness(df: DataFrame, hours: int = 2, event: str = "event_time", arrival:
     return df.filter(F.col(arrival) - F.col(event) > F.expr(f"interval {int(hours)} hours"))
 
 
+#: Relative error of a quantile that a sketch tells.
+SKETCH_ERROR = 0.01
+
+
+def lateness_sketch(df: DataFrame, keys: list[str], seconds: str) -> DataFrame:
+    """(keys, bucket, n): how many rows are how late, in buckets that grow by a fixed factor.
+
+    Sketches of parts are merged by putting them together: `sketch_quantile` adds up equal buckets. A
+    key has as many buckets as its lateness spans factors, some 900 from a second to a year. Rows that are not late (0 or less) share
+    one bucket; NULLs do not count.
+    """
+    width = math.log((1 + SKETCH_ERROR) / (1 - SKETCH_ERROR))
+    late = F.col(seconds).cast("double")
+    bucket = F.when(late > 0, F.ceil(F.log(late) / F.lit(width))).cast("int")
+    return df.where(late.isNotNull()).groupBy(*keys, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def sketch_quantile(sketch: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """(keys, n, value): the row at `share` of all rows of a key in order of lateness, within
+    `SKETCH_ERROR` of its true value."""
+    growth = (1 + SKETCH_ERROR) / (1 - SKETCH_ERROR)
+    merged = sketch.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
+    of = Window.partitionBy(*keys)
+    ranked = merged.withColumn("_all", F.sum("n").over(of)).withColumn(
+        "_upto", F.sum("n").over(of.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)))
+    reached = ranked.where(F.col("_upto") >= F.ceil(F.col("_all") * F.lit(share))).groupBy(*keys).agg(
+        F.first("_all").alias("n"), F.min_by(F.struct("bucket"), "_upto").alias("_at"))
+    middle = F.pow(F.lit(growth), F.col("_at.bucket")) * 2 / (growth + 1)
+    return reached.select(*keys, "n", F.coalesce(middle, F.lit(0.0)).alias("value"))
+
+
+def late_alerts(sketch: DataFrame, keys: list[str], limit_seconds: float, share: float = 0.99) -> DataFrame:
+    """Keys whose lateness at `share` is above the limit."""
+    return sketch_quantile(sketch, keys, share).where(F.col("value") > limit_seconds)
+
+
 def coverage(df: DataFrame, wanted: DataFrame, key: str = "symbol") -> DataFrame:
     """Row count and status of every wanted key, found or not."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

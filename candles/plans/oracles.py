@@ -481,3 +481,17 @@ fitted as (
 select symbol, trade_date, {r('case when n >= 2 and isfinite(b) then b end')} as slope,
   {r('case when n >= 2 and isfinite(b) then a end', 1)} as intercept from fitted""", BARS),
 }
+
+ORACLES |= {
+    "compaction_packed": ORACLES["compaction_preserves_rows"],
+    "late_quantiles": w(f""",
+buckets as (
+  select symbol, date_trunc('hour', ts) as hour, case when volume > 0 then ceil(ln(120.0 * volume) / ln(1.01 / 0.99)) end as bucket, count(*) as n
+  from ticks group by 1, 2, 3),
+ranked as (
+  select *, sum(n) over (partition by symbol, hour) as total,
+    sum(n) over (partition by symbol, hour order by bucket nulls first rows unbounded preceding) as upto from buckets)
+select symbol, hour, cast(max(total) as bigint) as n,
+  {r('coalesce(pow(1.01 / 0.99, min(bucket)) * 2 / (1.01 / 0.99 + 1), 0)', 3)} as p99
+from ranked where upto >= ceil(total * 0.99) group by 1, 2""", TICKS),
+}

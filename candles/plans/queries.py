@@ -19,7 +19,7 @@ from candles.operators import rollup as R
 from candles.operators.series import Series
 from candles.plans import jobs, predict
 from candles.session import scratch
-from candles.sources import readers, sinks
+from candles.sources import packing, readers, sinks
 from candles.sources.tables import bars, bars_mixed, listing, reports, table, ticks
 from candles.streaming import bars as S
 from candles.streaming import keyed
@@ -511,6 +511,15 @@ def late_rows(spark, folder):
 # Incremental runs, upserts, landing, serving and maintenance
 
 
+@query
+def late_quantiles(spark, folder):
+    """How late the ticks of a symbol and hour are: the sketch's 99th percentile."""
+    rows = ticks(spark, folder).select("symbol", F.date_trunc("hour", "ts").alias("hour"), (2 * F.col("volume") * 60).alias("seconds"))
+    halves = [Q.lateness_sketch(rows.filter(half), ["symbol", "hour"], "seconds") for half in ("volume % 2 = 0", "volume % 2 = 1")]
+    found = Q.sketch_quantile(halves[0].unionByName(halves[1]), ["symbol", "hour"], 0.99)
+    return found.select("symbol", "hour", "n", rounded("value", 3).alias("p99"))
+
+
 @query
 def incremental_maxdate(spark, folder):
     df = closes(spark, folder)
@@ -731,6 +740,16 @@ def compaction_preserves_rows(spark, folder):
     return spark.read.schema(df.schema).parquet(path).select(*DAY, "close")
 
 
+@query
+def compaction_packed(spark, folder):
+    """Small files put together up to a target; what is larger stays."""
+    path = scratch(spark, "packed")
+    df = C.with_month(closes(spark, folder))
+    df.repartition(8).write.partitionBy(*sinks.BAR_PARTITIONS).parquet(path)
+    packing.pack(spark, path, ["symbol", "trade_date"], 32 << 10)
+    return spark.read.schema(df.schema).parquet(path).select(*DAY, "close")
+
+
 @query
 def monthly_partition_counts(spark, folder):
     return C.with_month(bars(spark, folder)).groupBy("month").agg(F.count(F.lit(1)).alias("n"))
