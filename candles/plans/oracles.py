@@ -495,3 +495,5 @@ select symbol, hour, cast(max(total) as bigint) as n,
   {r('coalesce(pow(1.01 / 0.99, min(bucket)) * 2 / (1.01 / 0.99 + 1), 0)', 3)} as p99
 from ranked where upto >= ceil(total * 0.99) group by 1, 2""", TICKS),
 }
+ORACLES["chart_skipped"] = w(""" select trade_date, open, high, low, close, volume from bars
+where symbol = 'S1' and trade_date > date '1998-06-30' - interval 12 month and trade_date <= date '1998-06-30'""", BARS)

@@ -19,7 +19,7 @@ from candles.operators import rollup as R
 from candles.operators.series import Series
 from candles.plans import jobs, predict
 from candles.session import scratch
-from candles.sources import packing, readers, sinks
+from candles.sources import clustered, packing, readers, sinks
 from candles.sources.tables import bars, bars_mixed, listing, reports, table, ticks
 from candles.streaming import bars as S
 from candles.streaming import keyed
@@ -300,6 +300,15 @@ def candlestick_1y(spark, folder):
     return jobs.candlestick(readers.read_bars(spark, path, df.schema), "S1").drop("symbol", "interval", "month")
 
 
+@query
+def chart_skipped(spark, folder):
+    """A symbol's year from a table clustered by symbol and date."""
+    path = scratch(spark, "clustered")
+    clustered.write_clustered(bars(spark, folder), path)
+    chosen = spark.read.parquet(path)
+    return jobs.candlestick(chosen, "S1", end="1998-06-30").drop("symbol", "interval")
+
+
 @query
 def candlestick_1y_all(spark, folder):
     return jobs.candlestick(bars(spark, folder)).drop("interval")
