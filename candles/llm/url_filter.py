@@ -3,7 +3,8 @@
 A rule is a host and a path prefix; it fits its host and all subdomains. With the host's labels
 reversed, `com.example/` + `/es/` is a key of which every fitting place, seen from that host, is an
 extension: the rule is an interval of the sorted keys. A place (host, path) is therefore looked up
-once for each of its parent hosts. Keys and rules are cut into the same ranges, a rule goes to each
+once for each of its parent hosts. Many hosts share a key (`com/` + `/` is that of every root page below com), so
+each key is judged once, and its rule goes back to the places by a join. Keys and rules are cut into the same ranges, a rule goes to each
 range that its interval touches, and a sweep over the sorted range keeps a stack of the rules that
 are still open; they are nested, so the top is the longest.
 """
@@ -63,16 +64,18 @@ def _best(places: DataFrame, rules: DataFrame) -> DataFrame:
     probes = places.select(
         "host", "path", F.explode(F.sequence(F.lit(1), F.size(labels))).alias("depth"))
     probes = probes.select(
-        F.concat(_reversed(F.slice(labels, F.size(labels) - F.col("depth") + 1, F.col("depth"))), F.col("path")).alias("key"),
-        F.lit(1).alias("kind"), "host", "path", F.lit(None).cast("string").alias("action"))
+        F.concat(_reversed(F.slice(labels, F.size(labels) - F.col("depth") + 1, F.col("depth"))), F.col("path")).alias("key"), "host", "path")
+    keys_ = stored(probes.select("key").distinct(), "url-keys")
+    none = F.lit(None).cast("string")
+    asked = keys_.select("key", F.lit(1).alias("kind"), none.alias("host"), none.alias("path"), none.alias("action"))
     ruled = rules.where("action is not null and host is not null and path is not null").select(
         F.translate("host", UPPER, LOWER).alias("host"), "path", "action")
     ruled = ruled.groupBy("host", "path").agg(F.max("action").alias("action")).select(
         F.concat(_reversed(labels), F.col("path")).alias("key"), F.lit(0).alias("kind"), "host", "path", "action")
 
     ranges = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = max(probes.count(), 1)
-    looks = probes.select("key").sample(min(1.0, LOOKS * ranges / rows), seed=7).orderBy("key")
+    rows = max(keys_.count(), 1)
+    looks = keys_.sample(min(1.0, LOOKS * ranges / rows), seed=7).orderBy("key")
     keys = [row.key for row in looks.limit(2 * LOOKS * ranges).collect()]
     cuts = sorted(set(keys[len(keys) * i // ranges] for i in range(1, ranges) if keys))
 
@@ -85,9 +88,9 @@ def _best(places: DataFrame, rules: DataFrame) -> DataFrame:
             name: column.take(rows) for name, column in columns.items()}
 
     schema = "range int, key string, kind int, host string, path string, action string"
-    both = arrow_map(probes.union(ruled), placed, schema)
+    both = arrow_map(asked.union(ruled), placed, schema)
     both = both.repartition("range").sortWithinPartitions("range", "key", "kind")
-    out = "host string, path string, rule string, action string, host_length int, path_length int"
+    out = "key string, rule string, action string, host_length int, path_length int"
     types = pa_schema(places.sparkSession, out)
 
     def sweep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,12 +108,12 @@ def _best(places: DataFrame, rules: DataFrame) -> DataFrame:
                 elif stack:
                     _, rule_host, rule_path, verdict = stack[-1]
                     for name, value in zip(types.names, (
-                            host, path, rule_host + rule_path, verdict, len(rule_host), len(rule_path))):
+                            k, rule_host + rule_path, verdict, len(rule_host), len(rule_path))):
                         made[name].append(value)
-            if made["host"]:
+            if made["key"]:
                 yield record(made, types)
 
     fits = both.mapInArrow(sweep, out)
-    return fits.groupBy("host", "path").agg(
+    return probes.join(fits, "key").groupBy("host", "path").agg(
         F.max_by(F.struct("rule", "action"), F.struct("host_length", "path_length")).alias("top")
     ).select("host", "path", "top.rule", "top.action")

@@ -39,3 +39,19 @@ def test_no_rules_and_no_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
     assert [tuple(r) for r in url_filter.judge(pages, none, default="block").collect()] == [(1, "a.b", "/c", None, "block")]
     assert url_filter.judge(pages.limit(0), none).collect() == []
+
+
+def test_a_key_that_many_hosts_share_is_judged_once(spark, monkeypatch):
+    kept, counts = url_filter.stored, {}
+
+    def counted(df, name):
+        made = kept(df, name)
+        counts[name] = made.count()
+        return made
+
+    monkeypatch.setattr(url_filter, "stored", counted)
+    pages = spark.range(3000).selectExpr("id as page_id", "concat('http://h', id, '.com/') as url")
+    rules = spark.createDataFrame([("block", "com", "/"), ("allow", "h7.com", "/")], "action string, host string, path string")
+    got = url_filter.judge(pages, rules).groupBy("verdict").count().collect()
+    assert {r.verdict: r["count"] for r in got} == {"block": 2999, "allow": 1}
+    assert counts["url-keys"] == 3001
