@@ -45,6 +45,8 @@ def arrow_map(df: DataFrame, function: Callable[[dict], Iterable[dict]], schema:
             if batch.num_rows:
                 for made in function(dict(zip(batch.schema.names, batch.columns))):
                     yield record(made, types)
+        # Workers are kept for other tasks; what Arrow holds in reserve is given back.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -28,7 +28,7 @@ import xxhash
 SECTION = 4 << 20
 #: Distinct pieces of a generation. A worker remembers two of them: what the newer one lacks is taken over from the
 #: older one, which is dropped when the newer is full, so pieces that come often stay.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True

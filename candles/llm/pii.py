@@ -24,7 +24,7 @@ from candles.llm.pieces import _WHITE, factorize
 from candles.llm.quality import groups
 
 KINDS = ("email", "ip", "card", "phone")
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 16
 
 #: The labelled table. <kind ...> marks personal data, all else is none.
 LABELLED = """
@@ -189,6 +189,7 @@ class Tagger:
     def __init__(self):
         self.model, self.number = fitted()
         self.known: dict[bytes, int] = {}
+        self.older: dict[bytes, int] = {}
         self.rows: dict[tuple[str, ...], int] = {}
         self.table = np.zeros((1 << 14, 3, len(KINDS) + 1))
         edge = [self.model.weights[self.number[far, "edge"]] for far in (-1, 1)]
@@ -196,18 +197,20 @@ class Tagger:
 
     def lookup(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > REMEMBERED:
-            self.known = {}
+            self.known, self.older = {}, self.known
         if len(self.rows) > REMEMBERED:
-            self.known, self.rows = {}, {}
+            self.known, self.older, self.rows = {}, {}, {}
         out = np.empty(len(words), np.int64)
         for i, word in enumerate(words):
             at = self.known.get(word)
             if at is None:
-                names = tuple(word_features(word.decode()))
-                at = self.rows.get(names)
+                at = self.older.get(word)
                 if at is None:
-                    at = self.rows[names] = len(self.rows)
-                    self._learn(at, names)
+                    names = tuple(word_features(word.decode()))
+                    at = self.rows.get(names)
+                    if at is None:
+                        at = self.rows[names] = len(self.rows)
+                        self._learn(at, names)
                 self.known[word] = at
             out[i] = at
         return out

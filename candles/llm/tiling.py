@@ -30,8 +30,8 @@ SEED, COVERAGE = 5, 0.5
 #: Bytes of tests that are sent to all tasks at once.
 BLOCK_BYTES = 8 << 20
 FIRST_SEARCH = 20
-#: Words remembered by a task before it starts afresh.
-REMEMBERED = 1 << 19
+#: Words of a generation; a task remembers two of them.
+REMEMBERED = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = np.uint64(20)
 _STRIP = re.compile(r"\W+")
@@ -42,6 +42,7 @@ class Words:
 
     def __init__(self):
         self.known: dict[bytes, int] = {}
+        self.older: dict[bytes, int] = {}
 
     def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of all words one after another, words per text)."""
@@ -52,13 +53,16 @@ class Words:
         stop = np.flatnonzero(~white & np.append(white[1:], True)) + 1
         codes, words, _ = factorize(buffer, first, stop)
         if len(self.known) > REMEMBERED:
-            self.known = {}
+            self.known, self.older = {}, self.known
         known, table = self.known, np.zeros(len(words), np.uint64)
         for i, word in enumerate(words):
             number = known.get(word)
             if number is None:
-                bare = _STRIP.sub("", word.decode().lower())
-                number = known[word] = xxhash.xxh64_intdigest(bare) or 1 if bare else 0
+                number = self.older.get(word)
+                if number is None:
+                    bare = _STRIP.sub("", word.decode().lower())
+                    number = xxhash.xxh64_intdigest(bare) or 1 if bare else 0
+                known[word] = number
             table[i] = number
         made = table[codes] if len(codes) else np.zeros(0, np.uint64)
         owner = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), first, side="right")
