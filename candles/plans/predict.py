@@ -7,7 +7,7 @@ import math
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candles.operators.bars import SERIES
@@ -15,9 +15,12 @@ from candles.operators.indicators import next_close
 from candles.operators.quality import is_complete
 from candles.operators.series import BARS, RowValue, Series, with_past
 from candles.schemas import PRICE_COLUMNS
+from candles.session import scratch, scratch_removed
 from candles.sources.sinks import metrics_frame
 
 LABEL = "close_next"
+#: Training rows of a partition, about: a forest's task reads its partition from memory at some 200 bytes a row.
+FIT_ROWS = 500_000
 
 
 def labelled(bars: DataFrame, series: Series = BARS) -> DataFrame:
@@ -38,6 +41,24 @@ def time_split(df: DataFrame, cut: str, embargo: int = 0) -> tuple[DataFrame, Da
     return train, df.filter(F.col("trade_date") >= bound)
 
 
+def split_once(bars: DataFrame, cut: str, *more: str) -> tuple[DataFrame, DataFrame]:
+    """Prices and labels (and columns `more`) of the training and the test rows, written to scratch: bars
+    are made and put in order once, however often a fit passes over them."""
+    spark, path = bars.sparkSession, scratch(bars.sparkSession, "labelled")
+    rows = labelled(bars).select("trade_date", *PRICE_COLUMNS, LABEL, *more)
+    rows.write.parquet(path)
+    train, test = time_split(spark.read.schema(rows.schema).parquet(path), cut)
+    return train.drop("trade_date"), test.drop("trade_date")
+
+
+def spread(train: DataFrame) -> DataFrame:
+    """`train` in even partitions, more of them the more rows there are; as it is if no partition has more
+    than `FIT_ROWS` rows. A forest draws its samples by partition, so its trees depend on them."""
+    sizes = train.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"))
+    row = sizes.agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    return train.repartition(-(-row["all"] // FIT_ROWS)) if (row["most"] or 0) > FIT_ROWS else train
+
+
 def assembler(columns: list[str] = PRICE_COLUMNS) -> VectorAssembler:
     return VectorAssembler(inputCols=columns, outputCol="features")
 
@@ -68,10 +89,10 @@ def train_and_score(
     if min_rows and not is_complete(bars, min_rows):
         raise ValueError(f"there are days with fewer than {min_rows} bars")
     chosen = bars if symbol is None else bars.filter(F.col("symbol") == symbol)
-    train, test = time_split(labelled(chosen), cut)
-    # Both fits iterate over the training rows.
-    train = train.select(*PRICE_COLUMNS, LABEL).persist()
-    test = test.select(*PRICE_COLUMNS, LABEL).persist()
+    # The fits iterate over the training rows; bars are made and put in order once for both sides.
+    rows = labelled(chosen).select("trade_date", *PRICE_COLUMNS, LABEL).persist()
+    train, test = (side.drop("trade_date") for side in time_split(rows, cut))
+    train = spread(train).persist()
     try:
         models = {"linear": fit_linear(train), "forest": fit_forest(train, trees)}
         metrics = [
@@ -81,28 +102,48 @@ def train_and_score(
         ]
     finally:
         train.unpersist()
-        test.unpersist()
+        rows.unpersist()
     return metrics_frame(bars.sparkSession, metrics)
 
 
 def linear_scores(bars: DataFrame, cut: str) -> DataFrame:
     """RMSE and R2 of the linear model over all bars."""
-    train, test = time_split(labelled(bars), cut)
-    scores = evaluate(fit_linear(train.select(*PRICE_COLUMNS, LABEL)).transform(test))
+    with scratch_removed(bars.sparkSession):
+        train, test = split_once(bars, cut)
+        scores = evaluate(fit_linear(train).transform(test))
     return metrics_frame(bars.sparkSession, [("linear", name, value) for name, value in scores.items()])
 
 
+def _forest_scored(bars: DataFrame, cut: str, trees: int, *more: str) -> tuple[DataFrame, Column, Column]:
+    """Scored test rows with columns `more`, and the squared errors of the forest and of the training
+    rows' mean label."""
+    train, test = split_once(bars, cut, *more)
+    mean = train.agg(F.avg(LABEL)).first()[0]
+    scored = fit_forest(spread(train.select(*PRICE_COLUMNS, LABEL)), trees).transform(test)
+    miss, plain = F.col(LABEL) - F.col("prediction"), F.col(LABEL) - F.lit(mean)
+    return scored, miss * miss, plain * plain
+
+
 def forest_against_mean(bars: DataFrame, cut: str, trees: int = 20) -> DataFrame:
     """(model, n, beats_mean): test rows the forest scored, and whether its error is below that of
     always saying the training rows' mean label."""
-    train, test = time_split(labelled(bars), cut)
-    train = train.select(*PRICE_COLUMNS, LABEL)
-    scored = fit_forest(train, trees).transform(test.select(*PRICE_COLUMNS, LABEL))
-    mean = train.agg(F.avg(LABEL)).first()[0]
-    miss, plain = F.col(LABEL) - F.col("prediction"), F.col(LABEL) - F.lit(mean)
+    scored, error, plain = _forest_scored(bars, cut, trees)
     return scored.agg(
-        F.lit("forest").alias("model"), F.count("prediction").alias("n"),
-        (F.avg(miss * miss) < F.avg(plain * plain)).alias("beats_mean"))
+        F.lit("forest").alias("model"), F.count("prediction").alias("n"), (F.avg(error) < F.avg(plain)).alias("beats_mean"))
+
+
+def forest_by_symbol(bars: DataFrame, cut: str, trees: int = 20) -> DataFrame:
+    """(model, symbol, n, beats_mean): the test rows of each symbol that the forest scored, and whether its
+    error over all of them is below that of always saying the training rows' mean label."""
+    scored, error, plain = _forest_scored(bars, cut, trees, "symbol")
+    sums = scored.groupBy("symbol").agg(
+        F.count("prediction").alias("n"), F.sum(error).alias("_error"), F.sum(plain).alias("_plain"))
+    # The test rows are scored once; what follows has a row for each symbol.
+    path = scratch(bars.sparkSession, "forest")
+    sums.write.parquet(path)
+    sums = bars.sparkSession.read.schema(sums.schema).parquet(path)
+    better = sums.agg((F.sum("_error") < F.sum("_plain")).alias("better")).first()[0]
+    return sums.where("n > 0").select(F.lit("forest").alias("model"), "symbol", "n", F.lit(better).cast("boolean").alias("beats_mean"))
 
 
 def walk_forward(bars: DataFrame, series: Series = BARS, least: int = 2) -> DataFrame:
