@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -78,11 +79,9 @@ def _syndrome(words: np.ndarray) -> np.ndarray:
 def patterns() -> list[tuple[np.ndarray, np.ndarray]]:
     """For an excess of 0, 1 and 2 bits over the covering radius: the error patterns ordered by
     syndrome, and where each of the 2,048 syndromes begins."""
-    words = np.arange(1 << LENGTH, dtype=np.int64)
-    weight = np.bitwise_count(words)
     out = []
-    for low, high in ((0, RADIUS), (RADIUS + 1, RADIUS + 1), (RADIUS + 2, RADIUS + 2)):
-        chosen = words[(weight >= low) & (weight <= high)]
+    for weights in (range(RADIUS + 1), (RADIUS + 1,), (RADIUS + 2,)):
+        chosen = np.array(sorted(sum(1 << bit for bit in bits) for k in weights for bits in combinations(range(LENGTH), k)), np.int64)
         syndrome = _syndrome(chosen)
         order = np.argsort(syndrome, kind="stable")
         begins = np.searchsorted(syndrome[order], np.arange((1 << CHECKS) + 1))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from candles.llm import jaccard
+from candles.llm import jaccard, simhash
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -70,6 +70,31 @@ def test_stage_drops_every_near_copy(spark):
     assert got == want and 56 not in got and 2 in got
 
 
+def test_anchors_bring_near_fingerprints_together(spark):
+    rows = edited()
+    first = {}
+    for _, t in rows:
+        text = (t or "").encode()
+        first.setdefault(simhash.fingerprint(text), set()).add(int(np.uint64(jaccard.node_of(text)).view(np.int64)))
+    want = {tuple(sorted((min(v), x))) for v in first.values() for x in v - {min(v)}}
+    want |= {tuple(sorted((min(v), min(first[g])))) for f, v in first.items() for g in first if 1 <= (f ^ g).bit_count() <= 2}
+    got = [tuple(r) for r in jaccard.anchored(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == sorted(want) and want
+
+
+def test_stage_begins_with_anchors(spark, monkeypatch):
+    """What anchors link is verified by its shingles, and not compared again."""
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(words[:2500]), "a b c d e f g", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    met, seen, found, verified = [], [], simhash.links, jaccard._verified
+    monkeypatch.setattr(simhash, "links", lambda fps: met.append(found(fps).count()) or found(fps))
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, sets: seen.append({tuple(r) for r in pairs.collect()}) or verified(pairs, sets))
+    kept = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER).collect())
+    assert kept == [k for k, least in brute(list(enumerate(texts))) if k == least]
+    assert met == [1] and len(seen[0]) == 1 and all(not seen[0] & later for later in seen[1:])
+
+
 def family(n, seed=3):
     """Texts of 12 fixed passages, six in each, with words of their own: most pairs lie just below 0.8."""
     rng = random.Random(seed)
