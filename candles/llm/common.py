@@ -16,6 +16,20 @@ BATCH_ROWS = 1000
 BATCH_BYTES = 32 << 20
 
 
+#: What this worker remembers.
+_held: dict[tuple, object] = {}
+
+
+def held_alone(make: Callable, *args):
+    """The worker's `make(*args)`. A worker serves one stage after another and holds one of these at a time, so the
+    memory of an earlier stage's operator is not added to that of a later one."""
+    key = (make, *args)
+    if key not in _held:
+        _held.clear()
+        _held[key] = make(*args)
+    return _held[key]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

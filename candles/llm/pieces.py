@@ -17,13 +17,14 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 import xxhash
 
+from candles.llm.common import held_alone
+
 #: Bytes worked on at once; a longer text is taken in several parts.
 SECTION = 4 << 20
 #: Distinct pieces of a generation. A worker remembers two of them: what the newer one lacks is taken over from the
@@ -236,7 +237,6 @@ def gather(values: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> tuple[
     return values[np.arange(total) + np.repeat(begins - (ends - counts), counts)], counts
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file."""
-    return Encoder(path)
+    return held_alone(Encoder, path)

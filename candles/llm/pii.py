@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candles.llm.common import arrow_map, session_of, text_bytes
+from candles.llm.common import arrow_map, held_alone, session_of, text_bytes
 from candles.llm.crf import Model, train, viterbi
 from candles.llm.pieces import _WHITE, factorize
 from candles.llm.quality import groups
@@ -249,9 +249,8 @@ class Tagger:
         return labels[chosen], first[chosen], stop[chosen], buffer
 
 
-@lru_cache(maxsize=1)
 def tagger() -> Tagger:
-    return Tagger()
+    return held_alone(Tagger)
 
 
 def spans_of(texts: list[bytes]) -> list[tuple[list, list]]:

@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from candles.llm import pii, quality
+from candles.llm import common, pieces, pii, quality
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -120,6 +120,14 @@ def test_only_the_result_stays(spark):
     assert {f.split("-")[0] for f in set(os.listdir(scratch_root(spark))) - before} == {"bpe"}
 
 
+def test_a_worker_holds_the_memory_of_one_stage():
+    first = pii.tagger()
+    assert pii.tagger() is first
+    encode = pieces.encoder(corpus_pipeline.TOKENIZER)
+    assert pieces.encoder(corpus_pipeline.TOKENIZER) is encode
+    assert list(common._held.values()) == [encode] and pii.tagger() is not first
+
+
 def test_registered():
     import __spark_entry__ as entry
 
