@@ -41,6 +41,13 @@ def session_of(df: DataFrame) -> SparkSession:
     return spark
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """`df` as a side of a join that deals out both sides. Spark tells a table's size by its compressed files, and takes a
+    function over rows to give as many as it gets, so a table that was packed well or made longer would seem small enough
+    to be sent through the driver."""
+    return df.hint("merge")
+
+
 def stored(df: DataFrame, name: str, *folders: str) -> DataFrame:
     """Write `df` to the shared folder, in folders by these columns, and read it back: it is computed
     once, and a lost executor costs no more than reading it again."""

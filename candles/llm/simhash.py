@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candles.llm.common import arrow_map, session_of, stored, text_bytes
+from candles.llm.common import arrow_map, dealt, session_of, stored, text_bytes
 from candles.llm.components import components
 
 WORDS, SEED, THRESHOLD = 3, 42, 2
@@ -130,7 +130,7 @@ def links(fps: DataFrame) -> DataFrame:
     home = arrow_map(fps.select("fp"), homes, "anchor long, a long")
     away = arrow_map(fps.select("fp"), replicas, "anchor long, b long")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= THRESHOLD
-    return home.join(away, (home.anchor == away.anchor) & (F.col("a") < F.col("b")) & near).select("a", "b")
+    return home.join(dealt(away), (home.anchor == away.anchor) & (F.col("a") < F.col("b")) & near).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

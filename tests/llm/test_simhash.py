@@ -2,8 +2,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from candles.llm import simhash
+from candles.llm.common import stored
 
 A = "the quick brown fox jumps over the lazy dog and runs far away from here today"
 
@@ -78,3 +80,10 @@ def test_components_equal_brute_force(spark, rows):
     docs = spark.createDataFrame([(k, t, "c") for k, t in rows], "doc_id long, text string, fp string")
     got = sorted((str(r.doc_id), r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect())
     assert got == brute(rows)
+
+
+def test_replicas_are_never_sent_whole(spark):
+    """A fingerprint has some 61 replicas, which Spark counts as one row."""
+    fps = stored(spark.range(1000).select(F.xxhash64("id").alias("fp")), "fps")
+    plan = simhash.links(fps)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
