@@ -140,3 +140,13 @@ def test_bitmaps_differ_in_no_more_bits_than_the_sets():
         two = np.union1d(one[rng.random(len(one)) < 0.9], rng.integers(0, 1 << 48, rng.integers(0, 60), dtype=np.uint64))
         bits = [np.unpackbits(jaccard.bitmap(x).view(np.uint8)) for x in (one, two)]
         assert (bits[0] != bits[1]).sum() <= len(np.setxor1d(one, two))
+
+
+def test_packed_tables_are_never_sent_whole(spark, monkeypatch):
+    """Sets, and rows with the bitmaps of their texts, are many times as large as their files."""
+    plans, stored = {}, jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or stored(df, name))
+    jaccard.near_duplicates(spark.createDataFrame(edited(), "doc_id long, text string")).collect()
+    for name in ("near", "nearby", "links"):
+        assert "Join" in plans[f"jaccard-{name}"] and "Broadcast" not in plans[f"jaccard-{name}"], name
+    assert plans["jaccard-across"].count("SortMergeJoin") >= 4
