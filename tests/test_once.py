@@ -1,8 +1,10 @@
 """What is read several times is made once, and copied no oftener than needed."""
 
 import json
+import time
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from candles.plans import jobs, predict
@@ -70,3 +72,60 @@ def test_an_upsert_copies_incoming_rows_at_most_once(spark, monkeypatch, tmp_pat
     assert copies == ["arrived"]
     assert {(r.symbol, r.month, r.version, r.close) for r in spark.read.parquet(path).collect()} == {
         ("A", "2020-01", 2, 1), (None, "2020-01", 1, 5), ("B", "2020-02", 1, 4)}
+
+
+TABLE = "symbol string, interval string, trade_date date, month string, close long, extra long"
+
+
+def put(spark, path, rows, **more):
+    made = [(s, "1D", d and date(2020, m, d), f"2020-0{m}", close, None) for s, m, d, close in rows]
+    sinks.upsert(spark.createDataFrame(made, TABLE), path, ["symbol", "interval", "trade_date"], **more)
+
+
+@pytest.mark.parametrize("sent", [0, 100_000])
+@pytest.mark.parametrize("incoming", [
+    [("A", 1, 1, 10), ("A", 1, 2, 11), (None, 1, 1, 12), ("B", 2, 1, 13), ("B", 2, None, 14)],
+    [("A", 1, 2, 10), (None, 1, 1, 11)],
+    [("B", 2, None, 10), ("C", 2, 1, 11), ("C", 3, 1, 12), ("C", 2, 4, 13), ("C", 2, 5, 14)],
+])
+def test_an_upsert_keeps_what_does_not_come_in(spark, monkeypatch, tmp_path, incoming, sent):
+    """Null keys are equal; of stored rows with one key one stays, whether keys are sent or dealt out."""
+    monkeypatch.setattr(sinks, "SENT_KEYS", sent)
+    stored = [("A", 1, 1, 1), ("A", 1, 2, 2), (None, 1, 1, 3), ("B", 2, 1, 4), ("B", 2, None, 5), ("B", 3, 1, 6)]
+    for repeats in ([], [("B", 2, 1, 7), ("B", 3, 1, 8), ("A", 1, 1, 9)]):
+        path = f"{tmp_path}/{len(repeats)}"
+        sinks.write_bars(spark.createDataFrame(
+            [(s, "1D", d and date(2020, m, d), f"2020-0{m}", close, None) for s, m, d, close in stored + repeats], TABLE), path)
+        put(spark, path, incoming)
+        want = {}
+        for rows in (sorted(stored + repeats, key=lambda r: r[3]), incoming):
+            want |= {(s, m, d): close for s, m, d, close in rows}
+        # Folders that the incoming rows do not touch stay as they are.
+        months = {m for _, m, _, _ in incoming}
+        want = sorted([(str(s), m, str(d), c) for (s, m, d), c in want.items() if m in months]
+                      + [(str(s), m, str(d), c) for s, m, d, c in stored + repeats if m not in months])
+        got = sorted((str(r.symbol), int(r.month[-1]), str(r.trade_date and r.trade_date.day), r.close) for r in spark.read.parquet(path).collect())
+        assert got == want
+
+
+def test_replaced_rows_are_not_shuffled(spark, monkeypatch, tmp_path):
+    put(spark, f"{tmp_path}/bars", [("A", 1, d, d) for d in range(1, 29)])
+    plans, write = [], sinks.write_bars
+    monkeypatch.setattr(sinks, "write_bars", lambda df, *a, **k: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, *a, **k))
+    put(spark, f"{tmp_path}/bars", [("A", 1, d, -d) for d in range(1, 28)])
+    assert "Exchange hashpartitioning" not in plans[0] and "Window" not in plans[0]
+    assert sorted(r.close for r in spark.read.parquet(f"{tmp_path}/bars").collect()) == [*range(-27, 0), 28]
+
+
+def test_shuffle_files_go_with_their_action(spark):
+    def files():
+        found = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())} if found.size() else set()
+
+    before = {f for f in files() if f.startswith("shuffle_")}
+    assert spark.range(1000).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count().count() == 7
+    for _ in range(50):
+        if not {f for f in files() if f.startswith("shuffle_")} - before:
+            break
+        time.sleep(0.1)
+    assert not {f for f in files() if f.startswith("shuffle_")} - before
